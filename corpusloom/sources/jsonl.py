@@ -55,11 +55,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     MALFORMED: valid JSON that is no object, or text that is no string;
     BAD_JSON: blank line or invalid JSON. Repeated keys: the last one counts.
     """
-    spark = lines.sparkSession
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    doc = F.try_parse_json(strip_space(F.col("value")))
-    parsed = lines.withColumn("_doc", doc).withColumn(
-        "_text", F.try_variant_get("_doc", "$.text", "variant")
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    line = strip_space(F.col("value"))
+    # The parser stops after the first value. A line is one whole value only if it
+    # is the single element of an array and the single member of an object.
+    row = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
+    single = member.isNotNull() & F.try_variant_get("_row", "$[1]", "variant").isNull()
+    parsed = (
+        lines.withColumn("_row", row)
+        .withColumn("_doc", F.when(single, F.try_variant_get("_row", "$[0]", "variant")))
+        .withColumn("_text", F.try_variant_get("_doc", "$.text", "variant"))
     )
     kind = F.when(F.schema_of_variant("_doc").startswith("OBJECT"), "object")
     text_kind = F.schema_of_variant("_text")
