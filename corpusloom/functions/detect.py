@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fx
-from corpusloom.functions.text import TAG, text_lines
+from corpusloom.functions.text import TAG, let, text_lines
 
 _S, _W, _D = f"[{fx.SPACE_CLASS}]", f"[{fx.WORD_CLASS}]", fx.DIGIT_CLASS
 
@@ -63,9 +63,11 @@ def has_html(col: Column) -> Column:
 
 
 def _ratio(col: Column, pattern: str) -> Column:
-    lines = text_lines(col)
-    code = F.size(F.filter(lines, lambda line: F.rlike(line, F.lit(pattern))))
-    return F.coalesce(F.try_divide(code.cast("double"), F.size(lines)), F.lit(0.0))
+    def share(lines: Column) -> Column:
+        code = F.size(F.filter(lines, lambda line: F.rlike(line, F.lit(pattern))))
+        return F.coalesce(F.try_divide(code.cast("double"), F.size(lines)), F.lit(0.0))
+
+    return let(text_lines(col), share)
 
 
 def code_fraction(col: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,15 @@ _SCRIPT_STYLE = r"(?isu)<script.*?>.*?</script>|<style.*?>.*?</style>"
 _COMMENT = r"(?s)<!--.*?-->"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once per row.
+
+    A column used several times, or inside a lambda, is otherwise evaluated at
+    every use.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_space(col: Column) -> Column:
     """Remove Unicode white space from both ends."""
     return F.btrim(col, F.lit(fx.SPACE_CHARS))
@@ -48,14 +59,17 @@ def text_lines(col: Column) -> Column:
 def simhash_tokens(col: Column) -> Column:
     """Lower-cased ASCII alphanumeric tokens; no token gives an empty array."""
     words = F.btrim(F.regexp_replace(F.lower(col), "[^a-z0-9]+", " "))
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(
-        F.split(words, " ")
-    )
+    # Splitting an empty text gives one empty token.
+    return F.array_remove(F.split(words, " "), "")
 
 
 def token_chunks(tokens: Column, n: int = fx.SIMHASH_CHUNK) -> Column:
     """Disjoint groups of n tokens joined by a space; the last may be short."""
-    starts = F.sequence(F.lit(0), F.size(tokens) - 1, F.lit(n))
-    return F.when(F.size(tokens) == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    )
+
+    def chunks(words: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(n))
+        return F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(
+            F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+        )
+
+    return let(tokens, chunks)

@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import let
 from corpusloom.session import materialise
 
-OPEN, CLOSE = "‹", "›"
+OPEN, CLOSE = "\u2039", "\u203a"
 # Best pairs looked at per round; a round may apply several merges.
 CANDIDATES = 64
+# Merges applied on the fly before the words are rewritten.
+REWRITE_EVERY = 16
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -28,29 +31,29 @@ def byte_alphabet() -> dict[int, str]:
 def byte_symbols(word: Column) -> Column:
     """UTF-8 bytes of a word as bracketed symbols."""
     names = F.lit([f"{OPEN}{byte_alphabet()[b]}{CLOSE}" for b in range(256)])
-    digits = F.hex(F.encode(word, "UTF-8"))
-    size = F.octet_length(word)
-    one = F.sequence(F.lit(0), size - 1)
-    codes = F.transform(
-        one, lambda i: F.conv(F.substr(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
-    )
-    return F.array_join(F.transform(codes, lambda c: F.get(names, c)), "")
 
+    def symbols(digits: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(digits) - 1, F.lit(2))
+        return F.transform(
+            starts,
+            lambda i: F.get(names, F.conv(F.substr(digits, i, F.lit(2)), 16, 10).cast("int")),
+        )
 
-def _symbol_list(symbols: Column) -> Column:
-    inner = F.substr(symbols, F.lit(2), F.length(symbols) - 2)
-    return F.split(inner, CLOSE + OPEN)
+    return F.array_join(let(F.hex(F.encode(word, "UTF-8")), symbols), "")
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """(left, right, n): occurrences of adjacent symbols over the corpus."""
-    listed = words.select("n", _symbol_list(F.col("symbols")).alias("s"))
-    pairs = F.zip_with(
-        F.slice("s", 1, F.size("s") - 1), F.slice("s", 2, F.size("s")),
-        lambda a, b: F.struct(a.alias("left"), b.alias("right")),
-    )
+
+    def pairs(s: Column) -> Column:
+        return F.zip_with(
+            F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s)),
+            lambda a, b: F.struct(a.alias("left"), b.alias("right")),
+        )
+
+    symbols = F.split(F.btrim("symbols", F.lit(OPEN + CLOSE)), CLOSE + OPEN)
     return (
-        listed.filter(F.size("s") > 1).select("n", F.inline(pairs))
+        words.select("n", F.inline(let(symbols, pairs)))
         .groupBy("left", "right").agg(F.sum("n").alias("n"))
     )
 
@@ -79,8 +82,8 @@ def _batch(best: list, room: int) -> list[tuple[str, str]]:
 def train_bpe(counts: DataFrame, merges: int = 200) -> tuple[DataFrame, DataFrame]:
     """From (token, n): the merges (rank, left, right) and the encoded words.
 
-    Ties go to the pair that sorts first. The words are rewritten once per round
-    and cut from their lineage in the shared folder.
+    Ties go to the pair that sorts first. Recent merges are applied on the fly; from
+    time to time the words are rewritten in the shared folder.
     """
     words = materialise(
         counts.filter(F.col("token") != "").select(
@@ -89,17 +92,22 @@ def train_bpe(counts: DataFrame, merges: int = 200) -> tuple[DataFrame, DataFram
         "words",
     )
     learned: list[tuple[str, str]] = []
+    pending: list[tuple[str, str]] = []
     while len(learned) < merges:
+        current = words.withColumn("symbols", apply_merges(F.col("symbols"), pending))
         best = (
-            pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(CANDIDATES).collect()
+            pair_counts(current).orderBy(F.desc("n"), "left", "right").limit(CANDIDATES).collect()
         )
         batch = _batch(best, merges - len(learned))
         if not batch:
             break
         learned += batch
-        words = materialise(
-            words.withColumn("symbols", apply_merges(F.col("symbols"), batch)), "words"
-        )
+        pending += batch
+        if len(pending) >= REWRITE_EVERY or len(learned) >= merges:
+            words = materialise(
+                words.withColumn("symbols", apply_merges(F.col("symbols"), pending)), "words"
+            )
+            pending = []
     rows = [(i, left, right) for i, (left, right) in enumerate(learned)]
     table = counts.sparkSession.createDataFrame(rows, "rank bigint, left string, right string")
     return table, words

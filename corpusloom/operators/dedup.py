@@ -44,7 +44,10 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 def dedup_parsed(parsed: DataFrame) -> DataFrame:
     """The same on parsed lines: rows with text are grouped, MALFORMED rows pass
-    through one by one, BAD_JSON rows are dropped."""
+    through one by one, BAD_JSON rows are dropped.
+
+    Pass a stage table: filters on a computed status would repeat the parsing.
+    """
     with_text = parsed.filter(F.col("status").isin("OK", "EMPTY"))
     malformed = parsed.filter(F.col("status") == "MALFORMED").select("ord")
     return keep_ords(parsed, first_of_copies(with_text).select("ord").union(malformed))
@@ -66,11 +69,9 @@ def simhash(df: DataFrame) -> DataFrame:
     cannot overflow them), so 32 sums replace 64; the chunks of a document are
     summed in the task that reads it and only the sums are shuffled.
     """
-    chunks = df.select(
-        "ord",
-        F.explode_outer(token_chunks(simhash_tokens(F.col("text")))).alias("chunk"),
-    )
-    hashed = chunks.select("ord", low_md5(F.col("chunk")).alias("h"))
+    # Hashed inside the array, so that each digest is computed once, not per sum.
+    hashes = F.transform(token_chunks(simhash_tokens(F.col("text"))), low_md5)
+    hashed = df.select("ord", F.explode_outer(hashes).alias("h"))
     lanes = F.lit(0x0000000100000001)
     sums = hashed.groupBy("ord").agg(
         F.count("h").alias("n"),

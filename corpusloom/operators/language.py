@@ -30,10 +30,8 @@ def trigrams(col: Column) -> Column:
     chars = F.split(F.concat(F.lit(" "), words, F.lit(" ")), "")
     pairs = F.zip_with(chars, F.slice(chars, 2, F.size(chars)), lambda a, b: F.concat(a, b))
     grams = F.zip_with(pairs, F.slice(chars, 3, F.size(chars)), lambda a, b: F.concat(a, b))
-    # The longer side runs past the shorter one by two: those are null.
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(
-        F.array_compact(grams)
-    )
+    # The longer side runs past the shorter one: those entries are null.
+    return F.array_compact(grams)
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:

@@ -402,7 +402,7 @@ def _pairs(threshold: int) -> str:
 
 def _near(threshold: int) -> str:
     return f"""WITH RECURSIVE {_DOCS}, {_SIGS},
-  ranked AS (SELECT ord, sig, row_number() OVER (ORDER BY ord) AS i FROM nodes),
+  ranked AS MATERIALIZED (SELECT ord, sig, row_number() OVER (ORDER BY ord) AS i FROM nodes),
   scan AS (
   SELECT 0::BIGINT AS i, []::BIGINT[] AS kept, NULL::BIGINT AS ord
   UNION ALL

@@ -241,7 +241,7 @@ def dedup_exact(spark, sf):
 @query
 def dedup_lines(spark, sf):
     """Parsed lines: rows without readable text pass through."""
-    parsed = jsonl.parse_lines(tables.json_lines(spark, sf))
+    parsed = materialise(jsonl.parse_lines(tables.json_lines(spark, sf)), "parsed")
     return dedup.dedup_parsed(parsed).select("ord", "status")
 
 
@@ -362,7 +362,7 @@ def clean_verdicts_given_lang(spark, sf):
 
 @query
 def clean_docs(spark, sf):
-    return clean.kept_docs(_verdicts(spark, sf))
+    return clean.kept_docs(materialise(_verdicts(spark, sf), "verdicts"))
 
 
 @query
