@@ -10,12 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fx
 from corpusloom.functions.text import strip_space
-from corpusloom.operators.lookup import small_table, weight_sums
+from corpusloom.operators.lookup import small_table
 from corpusloom.operators.sample import sample_n, smallest_n
 from corpusloom.session import materialise
 
@@ -24,22 +26,47 @@ MAX_LANGUAGES = 200
 MICRO = 1_000_000
 
 
-def trigrams(col: Column) -> Column:
-    """All letter trigrams of the lower-cased text, words bounded by spaces."""
+def letters_only(col: Column) -> Column:
+    """Lower-cased words bounded by single spaces."""
     words = F.btrim(F.regexp_replace(F.lower(col), r"[^\p{L}]+", " "))
-    chars = F.split(F.concat(F.lit(" "), words, F.lit(" ")), "")
-    pairs = F.zip_with(chars, F.slice(chars, 2, F.size(chars)), lambda a, b: F.concat(a, b))
-    grams = F.zip_with(pairs, F.slice(chars, 3, F.size(chars)), lambda a, b: F.concat(a, b))
-    # The longer side runs past the shorter one: those entries are null.
-    return F.array_compact(grams)
+    return F.concat(F.lit(" "), words, F.lit(" "))
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
-    """(lang, gram, n) over (text, lang)."""
-    grams = labelled.select(
-        F.upper("lang").alias("lang"), F.explode(trigrams(F.col("text"))).alias("gram")
+    """(lang, gram, n): letter trigrams over (text, lang).
+
+    Each Arrow batch is counted where it is read, so one row per distinct trigram
+    and batch is shuffled instead of one per character.
+    """
+
+    def count(batches):
+        for batch in batches:
+            langs = batch.column(0)
+            for lang in pc.unique(pc.drop_null(langs)).to_pylist():
+                texts = batch.column(1).filter(pc.equal(langs, lang)).to_pylist()
+                joined = "".join(t for t in texts if t)
+                codes = np.frombuffer(joined.encode("utf-32-le"), "uint32").astype("int64")
+                first, middle, last = codes[:-2], codes[1:-1], codes[2:]
+                # Texts start and end with a space: two in a row mark a seam.
+                inside = (middle != 32) | ((first != 32) & (last != 32))
+                keys, n = np.unique(
+                    (first << 42 | middle << 21 | last)[inside], return_counts=True
+                )
+                grams = [
+                    chr(k >> 42) + chr(k >> 21 & 0x1FFFFF) + chr(k & 0x1FFFFF)
+                    for k in keys.tolist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                     pa.array(n, pa.int64())],
+                    ["lang", "gram", "n"],
+                )
+
+    letters = labelled.select(
+        F.upper("lang").alias("lang"), letters_only(F.col("text")).alias("letters")
     )
-    return grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counted = letters.mapInArrow(count, "lang string, gram string, n bigint")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit_profile(labelled: DataFrame, grams: int = PROFILE_GRAMS) -> DataFrame:
@@ -78,8 +105,44 @@ class LanguageModel:
         return cls(list(wide.columns), list(wide.index), wide.to_numpy("int64"))
 
     def scores(self, col: Column) -> Column:
-        """Array of one sum per language (name order) and the known trigrams."""
-        return weight_sums(trigrams(col), self.grams, self.weights)
+        """Array of one sum per language (name order) and the known trigrams.
+
+        Only the letters travel to Python; the trigrams of a whole Arrow batch
+        are formed and looked up as integers at once.
+        """
+        points = np.array([[ord(c) for c in g] for g in self.grams], "int64").reshape(-1, 3)
+        # 21 bits hold any code point, so a trigram is one 63-bit integer.
+        keys = points[:, 0] << 42 | points[:, 1] << 21 | points[:, 2]
+        order = np.argsort(keys)
+        keys = np.append(keys[order], np.iinfo("int64").max)
+        ones = np.ones((len(order), 1), "int64")
+        table = np.hstack([self.weights[order], ones])
+        table = np.vstack([table, np.zeros((1, table.shape[1]), "int64")])
+
+        @F.arrow_udf("array<bigint>")
+        def sums(texts: pa.Array) -> pa.Array:
+            texts = pc.fill_null(texts.cast(pa.large_string()), "")
+            sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype("int64")
+            joined = "".join(texts.to_pylist())
+            codes = np.frombuffer(joined.encode("utf-32-le"), "uint32").astype("int64")
+            m, ends = table.shape[1], np.cumsum(sizes)
+            out = np.zeros((len(sizes), m), "int64")
+            if len(codes) > 2:
+                found = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+                at = np.searchsorted(keys, found)
+                at[keys[at] != found] = len(table) - 1
+                # A window must not reach into the next document.
+                for back in (1, 2):
+                    edge = (ends - back)[sizes >= back]
+                    at[edge[edge < len(at)]] = len(table) - 1
+                for j in range(m):
+                    running = np.concatenate([[0], np.cumsum(table[at, j]), [0, 0]])
+                    running[-2:] = running[-3]
+                    out[:, j] = running[ends] - running[ends - sizes]
+            offsets = np.arange(0, (len(sizes) + 1) * m, m, dtype="int32")
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+        return sums(letters_only(col))
 
     def best(self, scores: Column) -> Column:
         """Name of the best language; ties by name; no known trigram: UNKNOWN."""

@@ -28,7 +28,7 @@ def _upper_bound(keys: DataFrame, n: int, slack: int, direct_rows: int) -> int |
         width = max(1, -(-(high - low + 1) // _BINS))
         bins = (
             keys.filter(F.col("k").between(low, high))
-            .groupBy(F.floor((F.col("k") - low) / width).cast("int").alias("b"))
+            .groupBy(F.expr(f"(k - ({low})) div {width}").alias("b"))
             .count()
             .orderBy("b")
             .collect()  # at most 1,024 rows
