@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from corpusloom.session import broadcast_if_small, materialise
 
 # Distinct signatures that may be compared pairwise inside one bucket.
 BUCKET_ROWS = 512
+# Flipped values per signature up to which crowded buckets are solved by flips.
+FLIPS = 1_000
 
 
 def keep_ords(df: DataFrame, kept: DataFrame) -> DataFrame:
@@ -118,6 +123,51 @@ def _narrower(mask: int, parts: int) -> list[int]:
     ]
 
 
+def _flips(mask: int, most: int) -> list[int]:
+    """Every way to flip at most `most` of the bits outside of `mask`."""
+    free = [1 << b for b in range(64) if not mask >> b & 1]
+    return [sum(c) for k in range(most + 1) for c in combinations(free, k)]
+
+
+def _flip_count(mask: int, threshold: int) -> int:
+    free = 64 - mask.bit_count()
+    halves = (threshold - threshold // 2, threshold // 2)
+    return sum(comb(free, k) for most in halves for k in range(most + 1))
+
+
+def _pairs_within(left: DataFrame, right: DataFrame, keys: list[str], threshold: int) -> DataFrame:
+    """Join two copies of (keys, ord, sig) and keep the near pairs."""
+    a = left.select(*keys, F.col("ord").alias("ord_a"), F.col("sig").alias("sig_a"))
+    b = right.select(*keys, F.col("ord").alias("ord_b"), F.col("sig").alias("sig_b"))
+    distance = hamming(F.col("sig_a"), F.col("sig_b"))
+    return (
+        a.join(b, keys)
+        .filter((F.col("ord_a") < F.col("ord_b")) & (distance <= threshold))
+        .select("ord_a", "ord_b", distance.cast("bigint").alias("distance"))
+    )
+
+
+def _meet_halfway(rows: DataFrame, masks: list[int], threshold: int) -> DataFrame:
+    """Near pairs inside crowded buckets, however crowded.
+
+    Two signatures at most t bits apart have a value in the middle, half of the
+    flips from either. Each row lists the values within half the distance and the
+    pairs meet by equality. A value has a bounded number of neighbours, so no key
+    is hot, whatever the data.
+    """
+
+    def reach(most: int) -> DataFrame:
+        steps = [(_signed(m), [_signed(f) for f in _flips(m, most)]) for m in masks]
+        table = rows.sparkSession.createDataFrame(steps, "mask bigint, flips array<bigint>")
+        near = rows.join(F.broadcast(table), "mask")  # a constant of the threshold
+        return near.select("mask", "ord", "sig", F.explode("flips").alias("flip")).select(
+            "mask", "ord", "sig", F.col("sig").bitwiseXOR(F.col("flip")).alias("middle")
+        )
+
+    far, near = threshold - threshold // 2, threshold // 2
+    return _pairs_within(reach(far), reach(near), ["mask", "middle"], threshold)
+
+
 def near_pairs(
     distinct: DataFrame,
     threshold: int = fx.HAMMING_THRESHOLD,
@@ -128,14 +178,16 @@ def near_pairs(
     threshold + 1 bands: such a pair agrees on at least one whole band, so
     signatures meet by an equality join on (band, bits). A bucket that is too
     full is not compared but cut into threshold + 1 finer bands of the bits it
-    does not fix yet, by the same argument, as often as needed. No candidate is
-    dropped, and no bucket is compared pairwise beyond `bucket_rows`.
+    does not fix yet, by the same argument; what stays crowded when few enough
+    bits are free is solved by `_meet_halfway`. No candidate is dropped. At the
+    default threshold that is at most two levels; a wide threshold costs far
+    more on crowded data, as its bands are short.
     """
     parts, masks = threshold + 1, _narrower(0, threshold + 1)
     nodes = distinct.select("ord", "sig")
     rows = nodes.withColumn("mask", F.explode(F.lit([_signed(m) for m in masks])))
     rows = rows.withColumn("bits", F.col("sig").bitwiseAND(F.col("mask")))
-    buckets = None
+    buckets = halfway = None
     while True:
         crowded = materialise(
             rows.groupBy("mask", "bits").count()
@@ -149,25 +201,21 @@ def near_pairs(
         buckets = ready if buckets is None else buckets.unionByName(ready)
         if done:
             break
+        crowd = rows.join(hot, ["mask", "bits"], "left_semi")
+        if max(_flip_count(m, threshold) for m in masks) <= FLIPS:
+            halfway = _meet_halfway(crowd, masks, threshold)
+            break
         step = distinct.sparkSession.createDataFrame(
             [(_signed(m), _signed(n)) for m, n in finer], "mask bigint, finer bigint"
         )
         rows = (
-            rows.join(hot, ["mask", "bits"], "left_semi")
-            .join(F.broadcast(step), "mask")  # a constant of the threshold and level
+            crowd.join(F.broadcast(step), "mask")  # a constant of the threshold and level
             .select("ord", "sig", F.col("finer").alias("mask"))
             .withColumn("bits", F.col("sig").bitwiseAND(F.col("mask")))
         )
         masks = [n for _, n in finer]
-    left = buckets.select("mask", "bits", F.col("ord").alias("ord_a"), F.col("sig").alias("sig_a"))
-    right = buckets.select("mask", "bits", F.col("ord").alias("ord_b"), F.col("sig").alias("sig_b"))
-    distance = hamming(F.col("sig_a"), F.col("sig_b"))
-    return (
-        left.join(right, ["mask", "bits"])
-        .filter((F.col("ord_a") < F.col("ord_b")) & (distance <= threshold))
-        .select("ord_a", "ord_b", distance.cast("bigint").alias("distance"))
-        .distinct()
-    )
+    pairs = _pairs_within(buckets, buckets, ["mask", "bits"], threshold)
+    return (pairs if halfway is None else pairs.unionByName(halfway)).distinct()
 
 
 def _dropped_signatures(pairs: DataFrame) -> DataFrame:

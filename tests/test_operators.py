@@ -90,7 +90,7 @@ def clustered(rng, n):
     return [s - (1 << 64) if s >> 63 else s for s in sigs]
 
 
-@pytest.mark.parametrize("threshold, bucket_rows", [(3, 512), (3, 4), (1, 2), (8, 6)])
+@pytest.mark.parametrize("threshold, bucket_rows", [(3, 512), (3, 4), (1, 2), (2, 3), (8, 512)])
 def test_near_pairs_equal_brute_force(spark, threshold, bucket_rows):
     rng = random.Random(threshold * 100 + bucket_rows)
     sigs = list(dict.fromkeys(clustered(rng, 80)))
