@@ -10,12 +10,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ord, text, lang) of the document table; the id is the order key."""
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input of a few files.
+
+    The work per document is far larger than the shuffle. A large input has more
+    splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, "ord")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").alias("ord"), "text", "lang")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ord, text, lang) of the document table; the id is the order key."""
+    return spread(_documents(spark, sf_dir))
+
+
 # Pages come before the documents: ids -1, -2, ... can never meet a document id.
 PAGE_ORD = "-1 - page_id"
 
@@ -33,7 +49,7 @@ def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     The tables themselves hold no tags, code or control characters; each eighth
     of the documents gets one kind of noise. Nothing is left out.
     """
-    docs, text = documents(spark, sf_dir), F.col("text")
+    docs, text = _documents(spark, sf_dir), F.col("text")
     n_lines = F.size(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != ""))
     # c code lines among n others: share above 0.40 exactly when 3c > 2n.
     above = (n_lines * 2 / F.lit(3)).cast("int") + 1
@@ -68,9 +84,8 @@ def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(variant == 7, short)
         .otherwise(text)
     )
-    return docs.select("ord", noisy.alias("text"), "lang").unionByName(
-        pages(spark, sf_dir)
-    )
+    every = docs.select("ord", noisy.alias("text"), "lang").unionByName(pages(spark, sf_dir))
+    return spread(every)
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
