@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    order_minhash,
     packing,
     range_coder,
     relative_lz,
+    simhash,
     token_scan,
+    toxicity,
 )
 from corpusloom.llm.common import table
 
@@ -25,6 +31,22 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_chat_format(spark, sf):
+    return chat.format_chats(table(spark, sf, "conversations"))
+
+
+@query
+def op2_simhash_near_dedup(spark, sf):
+    near = simhash.near_components(table(spark, sf, "documents"), shingle=3, max_bits=2)
+    return near.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_order_minhash(spark, sf):
+    return order_minhash.compare_edits(table(spark, sf, "documents"))
+
+
 @query
 def op4_token_counts(spark, sf):
     """Document lengths in tokens, from flat token files without an index."""
@@ -38,6 +60,18 @@ def op5_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), path, end_id=1, capacity=4096)
 
 
+@query
+def op6_license_scan(spark, sf):
+    return licenses.scan_documents(table(spark, sf, "documents"))
+
+
+@query
+def op7_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
 @query
 def op8_token_files(spark, sf):
     """Documents written to range-coded files in doc_id order, then read from them."""
@@ -46,10 +80,64 @@ def op8_token_files(spark, sf):
     return range_coder.read_token_files(files)
 
 
+@query
+def op9_decontaminate(spark, sf):
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 @query
 def op10_substring_dedup(spark, sf):
     cut = relative_lz.remove_repeats(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-SQL: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_DOC_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SQL: dict[str, str] = {
+    "op1_chat_format": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations),
+        c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY pos) AS turns, count(*) AS n FROM t GROUP BY conv_id),
+        p AS (SELECT DISTINCT turns[1:i] AS turns FROM (SELECT turns, unnest(range(1, n)) AS i FROM c)),
+        kept AS (SELECT min(conv_id) AS conv_id FROM c ANTI JOIN p ON c.turns = p.turns GROUP BY c.turns)
+        SELECT conv_id, (pos - 1) // 64 AS part, count(*) AS n_turns,
+            string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY pos) AS text
+        FROM t SEMI JOIN kept ON t.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY ALL""",
+    "op9_decontaminate": f"""
+        WITH i AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+        iw AS (SELECT DISTINCT item_id, w[k:k+12] AS s FROM
+            (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+        d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+        sizes AS (SELECT DISTINCT len(s) AS m FROM iw),
+        dw AS (SELECT doc_id, k, w[k:k+m-1] AS s FROM
+            (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, sizes)),
+        hit AS (SELECT DISTINCT doc_id, k, len(dw.s) AS m, item_id FROM dw JOIN iw ON dw.s = iw.s),
+        n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+            (SELECT doc_id, unnest(range(k, k + m)) AS p FROM hit) GROUP BY doc_id),
+        who AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM
+            (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN who USING (doc_id)""",
+    "op10_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_DOC_WORDS} AS w FROM documents),
+        s AS (SELECT doc_id, k, array_to_string(w[k:k+34], ' ') AS s FROM
+            (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS k FROM d)),
+        twice AS (SELECT s FROM s GROUP BY s HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS p FROM s SEMI JOIN twice ON s.s = twice.s),
+        per AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
+        left_ AS (SELECT d.doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM
+            (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) d
+            ANTI JOIN gone ON d.doc_id = gone.doc_id AND d.p = gone.p GROUP BY d.doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN per USING (doc_id) LEFT JOIN left_ USING (doc_id)""",
+}
