@@ -50,16 +50,19 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): signed 64-bit fingerprints of whole texts. Texts without words, and null, have 0."""
+    """(doc_id, text_key, fp): signed 64-bit fingerprints of whole texts; 0 without words or for null.
+
+    text_key is a hash of id and text, under which equal rows meet.
+    """
 
     def run(batches):
         for batch in batches:
-            values = np.array([simhash(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"]
-            )
+            values = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+            columns = [batch.column(0), batch.column(1), pa.array(values.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "fp"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    keyed = id_text(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), "text")
+    return keyed.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -131,7 +134,7 @@ def _halfway(crowded: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, root, component_id): one row per input row.
+    """(doc_id, text_key, fp, root, component_id): one row per input row.
 
     component_id is the smallest doc_id that the document reaches by links, itself included; null ids
     are never the smallest, unless a component has no other. root names the component. Texts without
@@ -148,4 +151,4 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     rooted = materialise(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root")
-    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
