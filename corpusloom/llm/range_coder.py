@@ -28,164 +28,165 @@ from corpusloom.llm.token_ids import tokenizer
 BLOCK, GROUP, TABLE_BITS = 2048, 2048, 9
 MAGIC = b"CLRC1\n"
 
-_TOTAL_BITS, _ID_BITS = 12, 16  # of the mixed interval, and of an escaped id
-_CONTEXTS, _SLOTS = 64, 4
-_WORD = np.uint64(16)
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
+_CONTEXTS = 16  # of two confidences
+_RATE, _LEAST = 5, 64  # adaption of the edges, and the least share (of 65536) an outcome aims at
+_SIXTEEN, _WORD = np.uint64(16), np.uint64(32)
+_LOW, _FULL = np.uint64((1 << 32) - 1), np.uint64(1 << 32)
+
+_HASH = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+_MIX = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
 class _Model:
-    """The predictors of n blocks side by side."""
+    """The predictors of n blocks side by side. Places in tables are 64-bit, which NumPy looks up fastest."""
 
     def __init__(self, n: int):
         size = 1 << TABLE_BITS
-        self.rows1 = np.arange(n, dtype=np.int64) * size
-        self.mask = size - 1
+        self.lanes = np.arange(n)
+        self.rows = self.lanes * size
         # A cell holds (id + 1) * 4 + confidence; 0 is empty.
         self.order1, self.order2 = np.zeros(n * size, np.int32), np.zeros(n * size, np.int32)
-        self.order0, self.vote = np.zeros(n, np.int32), np.zeros(n, np.int32)
-        self.last, self.hashed = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        # Counts of the four outcomes: order 2, order 1, order 0, escape.
-        self.counts = np.tile(np.array([6, 6, 3, 48], np.int64), n * _CONTEXTS).reshape(-1, _SLOTS)
-        self.base = np.arange(n, dtype=np.int64) * _CONTEXTS
-
-    def predict(self, live: slice) -> tuple[np.ndarray, np.ndarray]:
-        """Ids predicted by orders 2, 1 and 0 (-1: none), and the cumulated intervals of the outcomes."""
-        self.at1 = self.rows1[live] + (self.last[live] * 40503 >> 4 & self.mask)
-        self.at2 = self.rows1[live] + (self.hashed[live] & self.mask)
-        self.cell1, self.cell2 = self.order1[self.at1], self.order2[self.at2]
-        self.ids = np.stack([(self.cell2 >> 2) - 1, (self.cell1 >> 2) - 1, self.order0[live] - 1])
-        sure0 = np.minimum(self.vote[live] >> 2, 3)
-        self.context = self.base[live] + ((self.cell2 & 3) << 4 | (self.cell1 & 3) << 2 | sure0)
-        counts = self.counts[self.context]
-        ends = np.cumsum(counts, axis=1)
-        # Every outcome keeps at least one part of the interval.
-        scaled = ends * ((1 << _TOTAL_BITS) - _SLOTS) // ends[:, 3:] + np.arange(1, 5)
-        return self.ids, scaled
-
-    def learn(self, live: slice, ids: np.ndarray, slot: np.ndarray) -> None:
-        self.counts[self.context, slot] += 24
-        full = self.counts[self.context, slot] > 1000
-        if full.any():
-            rows = self.context[full]
-            self.counts[rows] = (self.counts[rows] >> 1) + 1
-        for table, at, cell in ((self.order1, self.at1, self.cell1), (self.order2, self.at2, self.cell2)):
-            same, sure = (cell >> 2) == ids + 1, cell & 3
-            kept = np.where(same, np.minimum(sure + 1, 3), sure - 1)
-            table[at] = np.where(same | (kept >= 0), cell - sure + np.maximum(kept, 0), ids + 1 << 2)
-        same = self.order0[live] == ids + 1
-        vote = self.vote[live] + np.where(same, 1, -1)
-        self.order0[live] = np.where(vote < 0, ids + 1, self.order0[live])
-        self.vote[live] = np.minimum(np.where(vote < 0, 1, vote), 15)
-        self.hashed[live] = (self.last[live] * 2654435 + ids.astype(np.int64) * 40503) >> 5
-        self.last[live] = ids
-
-
-def _lengths(n_ids: int) -> np.ndarray:
-    """Blocks of a group: full ones first, the shorter one last."""
-    full, rest = divmod(n_ids, BLOCK)
-    return np.array([BLOCK] * full + [rest] * bool(rest), np.int64)
+        self.favourite, self.vote = np.full(n, -1, np.int32), np.zeros(n, np.int32)
+        self.at1, self.at2 = self.rows.copy(), self.rows.copy()
+        self.mixed = np.zeros(n, np.int64)
+        # Edges between the outcomes order 2, order 1, order 0 and escape, adaptive per context.
+        self.edges = [np.full(n * _CONTEXTS, start) for start in (6000, 12000, 14000)]
+        self.now = np.empty((5, n), np.int64)
+        self.now[0], self.now[4] = 0, 1 << 16
+        self.base = self.lanes * _CONTEXTS
+        self.n = n
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids that orders 2, 1 and 0 predict (-1: none); sets the context that mixes them."""
+        self.cell1, self.cell2 = self.order1.take(self.at1), self.order2.take(self.at2)
+        self.sure1, self.sure2 = self.cell1 & 3, self.cell2 & 3
+        self.context = self.base + ((self.sure2 << 2) + self.sure1)
+        for k in (1, 2, 3):
+            np.take(self.edges[k - 1], self.context, out=self.now[k], mode="clip")
+        return (self.cell2 >> 2) - 1, (self.cell1 >> 2) - 1, self.favourite
+
+    def interval(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, flat = slot * self.n + self.lanes, self.now.reshape(-1)
+        return flat.take(at), flat.take(at + self.n)
+
+    def learn(self, x: np.ndarray, slot: np.ndarray, same2: np.ndarray, same1: np.ndarray, same0: np.ndarray) -> None:
+        for k in (1, 2, 3):
+            # An outcome takes all but the least shares of the others.
+            aim = (slot < k) * ((1 << 16) - 4 * _LEAST) + k * _LEAST
+            aim -= self.now[k]
+            aim >>= _RATE
+            aim += self.now[k]
+            self.edges[k - 1][self.context] = aim
+        fresh = (x + 1) << 2
+        for table, at, cell, sure, same in (
+            (self.order1, self.at1, self.cell1, self.sure1, same1),
+            (self.order2, self.at2, self.cell2, self.sure2, same2),
+        ):
+            table[at] = np.where(same, cell + (sure < 3), np.where(sure > 0, cell - 1, fresh))
+        self.vote += same0
+        self.vote -= ~same0
+        lost = self.vote < 0
+        self.favourite = np.where(lost, x, self.favourite)
+        self.vote += lost
+        self.vote += lost
+        place = x.astype(np.int64)
+        hashed = _HASH.take(place)
+        self.at1 = self.rows + hashed
+        self.at2 = self.rows + (hashed ^ self.mixed)
+        self.mixed = _MIX.take(place)
+
+
+class _Range:
+    """Low ends and widths of n blocks' intervals; a width never stays below 2 ** 32."""
+
+    def __init__(self, n: int):
+        self.low, self.width = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
+
+    def narrow(self, start: np.ndarray, end: np.ndarray) -> None:
+        self.width >>= _SIXTEEN
+        self.low += self.width * start.view(np.uint64)
+        self.width *= (end - start).view(np.uint64)
+
+    def escape(self, lost: np.ndarray, x: np.ndarray) -> None:
+        """An id in full, where `lost`; x is 0 elsewhere."""
+        self.width >>= lost.astype(np.uint64) << np.uint64(4)
+        self.low += self.width * x.astype(np.uint64)
+
+    def short(self) -> np.ndarray:
+        """Blocks that must put out a word. A width that would carry into it is cut."""
+        need = self.width < _FULL
+        room = _FULL - (self.low & _LOW)
+        self.width = np.where(need, np.minimum(self.width, room), self.width)
+        return need
+
+    def shift(self, need: np.ndarray) -> None:
+        by = need.astype(np.uint64) << np.uint64(5)
+        self.low <<= by
+        self.width <<= by
+
+
+def _grid(n_ids: int) -> int:
+    return -(-n_ids // BLOCK)
 
 
 def encode_group(ids: np.ndarray) -> list[bytes]:
-    """The coded blocks of at most BLOCK * GROUP ids below 2 ** 16."""
-    sizes = _lengths(len(ids))
-    n = len(sizes)
-    grid = np.zeros((BLOCK, n), np.int32)
-    grid.T.flat[: len(ids)] = ids
-    model, low = _Model(n), np.zeros(n, np.uint64)
-    width = np.full(n, (1 << 64) - 1, np.uint64)
-    out, used = np.zeros((n, 2 * BLOCK + 8), "<u2"), np.zeros(n, np.int64)
-
-    def shift(rows: np.ndarray) -> None:
-        out[rows, used[rows]] = (low[rows] >> np.uint64(48)).astype(np.uint16)
-        used[rows] += 1
-        low[rows] <<= _WORD
-        width[rows] <<= _WORD
-
-    def settle(m: int) -> None:
-        while True:
-            lo, w = low[:m], width[:m]
-            same = (lo ^ (lo + w)) < _TOP
-            small = ~same & (w < _BOTTOM)
-            if small.any():
-                w[small] = (~lo[small] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-            rows = np.flatnonzero(same | small)
-            if not len(rows):
-                return
-            shift(rows)
-
-    for step in range(int(sizes[0]) if n else 0):
-        m = n if step < sizes[-1] else n - 1
-        live, x = slice(0, m), grid[step, :m]
-        ids_of, ends = model.predict(live)
-        hit = ids_of == x
-        slot = np.where(hit[0], 0, np.where(hit[1], 1, np.where(hit[2], 2, 3)))
-        high = np.take_along_axis(ends, slot[:, None], 1)[:, 0]
-        start = np.where(slot > 0, np.take_along_axis(ends, np.maximum(slot - 1, 0)[:, None], 1)[:, 0], 0)
-        width[:m] >>= np.uint64(_TOTAL_BITS)
-        low[:m] += width[:m] * start.astype(np.uint64)
-        width[:m] *= (high - start).astype(np.uint64)
-        settle(m)
-        lost = np.flatnonzero(slot == 3)
-        width[lost] >>= np.uint64(_ID_BITS)
-        low[lost] += width[lost] * x[lost].astype(np.uint64)
-        settle(m)
-        model.learn(live, x, slot)
-    for _ in range(4):
-        shift(np.arange(n))
-    return [out[i, : used[i]].tobytes() for i in range(n)]
+    """The coded blocks of at most BLOCK * GROUP ids below 2 ** 16; the last block is filled up with 0."""
+    n = _grid(len(ids))
+    grid = np.zeros((n, BLOCK), np.int32)
+    grid.reshape(-1)[: len(ids)] = ids
+    grid = np.ascontiguousarray(grid.T)
+    model, range_ = _Model(n), _Range(n)
+    out = np.zeros((n, BLOCK + 4), "<u4")
+    first = np.arange(n) * (BLOCK + 4)
+    place, words = first.copy(), out.reshape(-1)
+    for x in grid if n else ():
+        id2, id1, id0 = model.predict()
+        same2, same1, same0 = id2 == x, id1 == x, id0 == x
+        slot = np.where(same2, 0, np.where(same1, 1, np.where(same0, 2, 3)))
+        range_.narrow(*model.interval(slot))
+        lost = slot == 3
+        range_.escape(lost, x * lost)
+        need = range_.short()
+        words[place] = range_.low >> _WORD  # written over by the next word where none is due
+        place += need
+        range_.shift(need)
+        model.learn(x, slot, same2, same1, same0)
+    for _ in range(2):
+        words[place] = range_.low >> _WORD
+        place += 1
+        range_.low <<= _WORD
+    return [out[i, :k].tobytes() for i, k in enumerate((place - first).tolist())]
 
 
 def decode_group(blocks: list[bytes], n_ids: int) -> np.ndarray:
-    sizes = _lengths(n_ids)
-    n = len(sizes)
-    words = np.zeros((n, max([len(b) for b in blocks], default=0) // 2 + 8), np.uint64)
+    n = _grid(n_ids)
+    if not n:
+        return np.zeros(0, np.uint16)
+    size = max(len(b) for b in blocks) // 4 + 2
+    words = np.zeros((n, size), np.uint64)
     for i, b in enumerate(blocks):
-        words[i, : len(b) // 2] = np.frombuffer(b, "<u2")
-    grid, model = np.zeros((BLOCK, n), np.int32), _Model(n)
-    low, width = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
-    code, used = np.zeros(n, np.uint64), np.full(n, 4, np.int64)
-    for k in range(4):
-        code = code << _WORD | words[:, k]
-
-    def settle(m: int) -> None:
-        while True:
-            lo, w = low[:m], width[:m]
-            same = (lo ^ (lo + w)) < _TOP
-            small = ~same & (w < _BOTTOM)
-            if small.any():
-                w[small] = (~lo[small] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-            rows = np.flatnonzero(same | small)
-            if not len(rows):
-                return
-            code[rows] = code[rows] << _WORD | words[rows, used[rows]]
-            used[rows] += 1
-            low[rows] <<= _WORD
-            width[rows] <<= _WORD
-
-    for step in range(int(sizes[0]) if n else 0):
-        m = n if step < sizes[-1] else n - 1
-        live = slice(0, m)
-        ids_of, ends = model.predict(live)
-        width[:m] >>= np.uint64(_TOTAL_BITS)
-        value = ((code[:m] - low[:m]) // width[:m]).astype(np.int64)
-        slot = (value[:, None] >= ends[:, :3]).sum(1)
-        high = np.take_along_axis(ends, slot[:, None], 1)[:, 0]
-        start = np.where(slot > 0, np.take_along_axis(ends, np.maximum(slot - 1, 0)[:, None], 1)[:, 0], 0)
-        low[:m] += width[:m] * start.astype(np.uint64)
-        width[:m] *= (high - start).astype(np.uint64)
-        settle(m)
-        x = np.take_along_axis(ids_of, np.minimum(slot, 2)[None], 0)[0].astype(np.int32)
-        lost = np.flatnonzero(slot == 3)
-        width[lost] >>= np.uint64(_ID_BITS)
-        escaped = (code[lost] - low[lost]) // width[lost]
-        low[lost] += width[lost] * escaped
-        x[lost] = escaped
-        settle(m)
-        grid[step, :m] = x
-        model.learn(live, x, slot)
-    return grid.T.reshape(-1)[: n * BLOCK][:n_ids].astype(np.uint16) if n else np.zeros(0, np.uint16)
+        words[i, : len(b) // 4] = np.frombuffer(b, "<u4")
+    words, place = words.reshape(-1), np.arange(n) * size + 2
+    code = words[place - 2] << _WORD | words[place - 1]
+    grid, model, range_ = np.zeros((BLOCK, n), np.int32), _Model(n), _Range(n)
+    for step in range(BLOCK):
+        id2, id1, id0 = model.predict()
+        value = ((code - range_.low) // (range_.width >> _SIXTEEN)).view(np.int64)
+        slot = (value >= model.now[1]).astype(np.int64)
+        slot += value >= model.now[2]
+        slot += value >= model.now[3]
+        range_.narrow(*model.interval(slot))
+        lost = slot == 3
+        whole = ((code - range_.low) // (range_.width >> _SIXTEEN)).astype(np.int32)
+        x = np.where(lost, whole, np.where(slot == 0, id2, np.where(slot == 1, id1, id0)))
+        range_.escape(lost, x * lost)
+        need = range_.short()
+        code = np.where(need, code << _WORD | words[place], code)
+        place += need
+        range_.shift(need)
+        grid[step] = x
+        model.learn(x, slot, id2 == x, id1 == x, id0 == x)
+    return np.ascontiguousarray(grid.T).reshape(-1)[:n_ids].astype(np.uint16)
 
 
 class FileWriter:
