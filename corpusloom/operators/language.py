@@ -21,8 +21,8 @@ from corpusloom.operators.lookup import small_table
 from corpusloom.operators.sample import sample_n, smallest_n
 from corpusloom.session import materialise
 
-PROFILE_GRAMS = 20_000
-MAX_LANGUAGES = 200
+# Languages of a profile: each is a column. More are refused, never dropped.
+MAX_LANGUAGES = 1_000
 MICRO = 1_000_000
 
 
@@ -69,16 +69,19 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit_profile(labelled: DataFrame, grams: int = PROFILE_GRAMS) -> DataFrame:
-    """(lang, gram, n, weight) for the `grams` most frequent trigrams."""
+def fit_profile(labelled: DataFrame, grams: int | None = None) -> DataFrame:
+    """(lang, gram, n, weight) for all trigrams, or for the `grams` most frequent ones."""
     counts = materialise(gram_counts(labelled), "grams")
     totals = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-    top = materialise(
-        smallest_n(totals, -F.col("n"), grams, [F.col("gram")]).select("gram"), "top"
-    )
-    n_top = top.count()
-    seen = counts.join(F.broadcast(top), "gram")  # at most `grams` rows
-    langs = [r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES).collect()]
+    if grams is None:
+        seen, n_top = counts, totals.count()
+    else:
+        top = smallest_n(totals, -F.col("n"), grams, [F.col("gram")]).select("gram")
+        top = materialise(top, "top")
+        seen, n_top = counts.join(F.broadcast(top), "gram"), top.count()  # at most `grams` rows
+    langs = [r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     totals = seen.groupBy("lang").agg(F.sum("n").alias("total"))
     # Every language gets a weight for every kept gram: grams x languages rows.
     wide = seen.groupBy("gram").pivot("lang", sorted(langs)).agg(F.sum("n"))
@@ -98,7 +101,7 @@ class LanguageModel:
     @classmethod
     def load(cls, profile: DataFrame) -> "LanguageModel":
         """From a profile table; its size is checked on the way."""
-        wide = small_table(profile, PROFILE_GRAMS * MAX_LANGUAGES).pivot(
+        wide = small_table(profile).pivot(
             index="gram", columns="lang", values="weight"
         )
         wide = wide.sort_index(axis=1)
@@ -153,7 +156,7 @@ class LanguageModel:
         return F.when(known, F.get(names, place - 1)).otherwise(F.lit(fx.UNKNOWN_LANG))
 
 
-def fit_language(labelled: DataFrame, grams: int = PROFILE_GRAMS) -> LanguageModel:
+def fit_language(labelled: DataFrame, grams: int | None = None) -> LanguageModel:
     return LanguageModel.load(fit_profile(labelled, grams))
 
 

@@ -50,14 +50,17 @@ def smallest_n(
     ties: list[Column] | None = None,
     direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
-    """The n rows with the smallest integer key, ties broken by further columns."""
+    """The n rows with the smallest integer key, ties broken by further columns.
+
+    Rows with a null key come last.
+    """
     keyed = df.withColumn("_k", key)
     bound = _upper_bound(
         keyed.select(F.col("_k").alias("k")), n, max(n, 1000), direct_rows
     )
     if bound is not None:
         keyed = keyed.filter(F.col("_k") <= F.lit(bound))
-    return keyed.orderBy("_k", *(ties or [])).limit(n).drop("_k")
+    return keyed.orderBy(F.col("_k").asc_nulls_last(), *(ties or [])).limit(n).drop("_k")
 
 
 def first_n(df: DataFrame, n: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:

@@ -16,20 +16,25 @@ from corpusloom.session import broadcast_if_small, materialise
 
 
 _SPECIAL = "(?:" + "|".join(r"\Q" + t + r"\E" for t in fx.SPECIAL_TOKENS) + ")"
-# Literal special tokens are cut out first: nothing else may reach into them.
-_WITH_SPECIALS = (
-    rf"(?U){_SPECIAL}|\s+(?={_SPECIAL})|"
-    + fx.PRETOKEN.replace(
-        r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}<]++|(?!{_SPECIAL})<)+"
-    )
-)
 
 
 def pretokens(col: Column) -> Column:
-    """Published pre-tokeniser pattern; literal special tokens stay whole."""
-    plain = F.regexp_extract_all(col, F.lit(f"(?U){fx.PRETOKEN}"), F.lit(0))
-    special = F.regexp_extract_all(col, F.lit(_WITH_SPECIALS), F.lit(0))
-    return F.when(F.rlike(col, F.lit(_SPECIAL)), special).otherwise(plain)
+    """Published pre-tokeniser pattern; literal special tokens stay whole.
+
+    A text is cut before and after each special token first, and the pattern runs on
+    each part. No pattern here repeats a group, which would recurse once per repeat.
+    """
+
+    def plain(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(f"(?U){fx.PRETOKEN}"), F.lit(0))
+
+    parts = F.split(col, f"(?={_SPECIAL})|(?<={_SPECIAL})")
+    special = F.flatten(
+        F.transform(
+            parts, lambda p: F.when(p.isin(fx.SPECIAL_TOKENS), F.array(p)).otherwise(plain(p))
+        )
+    )
+    return F.when(F.rlike(col, F.lit(_SPECIAL)), special).otherwise(plain(col))
 
 
 def pretoken_counts(df: DataFrame) -> DataFrame:

@@ -9,9 +9,8 @@ from __future__ import annotations
 import re
 
 from corpusloom.functions import fixed_values as fx
-from corpusloom.operators.language import MICRO, PROFILE_GRAMS
-from corpusloom.operators.perplexity import MIX, MODEL_BIGRAMS, MODEL_UNIGRAMS
-from corpusloom.operators.toxicity import MODEL_TOKENS
+from corpusloom.operators.language import MICRO
+from corpusloom.operators.perplexity import MIX
 from corpusloom.plans.registry import NEAR_WIDE, QUERY_SHARD
 
 
@@ -218,8 +217,7 @@ _PROFILE = f"""gram_n AS (
   SELECT lang, gram, count(*) AS n
   FROM {_grams('(SELECT upper(lang) AS lang, text FROM documents)', 'lang')} GROUP BY 1, 2),
   top_grams AS (
-  SELECT gram FROM (SELECT gram, sum(n) AS n FROM gram_n GROUP BY 1)
-  ORDER BY n DESC, gram LIMIT {PROFILE_GRAMS}),
+  SELECT gram FROM (SELECT gram, sum(n) AS n FROM gram_n GROUP BY 1)),
   lang_total AS (
   SELECT lang, sum(n)::BIGINT AS total FROM gram_n JOIN top_grams USING (gram) GROUP BY 1),
   profile AS (
@@ -328,7 +326,7 @@ _TOXIC = f"""labelled AS (
   SELECT token, count(*) FILTER (toxic = 1) AS n_toxic, count(*) FILTER (toxic = 0) AS n_clean
   FROM (SELECT toxic, unnest({_WORDS}) AS token FROM labelled) GROUP BY 1),
   tok_top AS (
-  SELECT * FROM tok_n ORDER BY n_toxic + n_clean DESC, token LIMIT {MODEL_TOKENS}),
+  SELECT * FROM tok_n),
   tok_sum AS (
   SELECT sum(n_toxic)::BIGINT AS t, sum(n_clean)::BIGINT AS c, count(*) AS v FROM tok_top),
   toxic_model AS (
@@ -352,11 +350,9 @@ _LM = f"""steps AS (
   WHERE len(w) > 1),
   uni AS (
   SELECT token, n FROM (SELECT token, count(*) AS n
-    FROM (SELECT unnest({_WORDS}) AS token FROM docs) GROUP BY 1)
-  ORDER BY n DESC, token LIMIT {MODEL_UNIGRAMS}),
+    FROM (SELECT unnest({_WORDS}) AS token FROM docs) GROUP BY 1)),
   bi AS (
-  SELECT prev, token, n FROM (SELECT s[1] AS prev, s[2] AS token, count(*) AS n FROM steps GROUP BY 1, 2)
-  ORDER BY n DESC, prev, token LIMIT {MODEL_BIGRAMS}),
+  SELECT prev, token, n FROM (SELECT s[1] AS prev, s[2] AS token, count(*) AS n FROM steps GROUP BY 1, 2)),
   lm_total AS (SELECT sum(len({_WORDS}))::BIGINT AS n FROM docs)"""
 _PPL = f"""{_LM},
   losses AS (
@@ -683,4 +679,6 @@ def all_sql() -> dict[str, str]:
         "UNION ALL SELECT 'shards', 'train_ratio', '0.98' UNION ALL SELECT 'shards', 'val_ratio', '0.01' "
         "UNION ALL SELECT 'shards', 'test_ratio', '0.01') SELECT * FROM pairs",
     }
+    every = f"picked AS ({_sampled('docs', 2000)})"
+    sql["quality_report_all"] = sql["quality_report"].replace(every, "picked AS (SELECT * FROM docs)")
     return sql

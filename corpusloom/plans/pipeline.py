@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import fixed_values as fx
 from corpusloom.operators import clean, dedup, packing, quality, sharding, stats, tokens
 from corpusloom.operators.language import LanguageModel, fit_language
-from corpusloom.operators.perplexity import BigramModel, fit_lm
+from corpusloom.operators.perplexity import BigramModel
 from corpusloom.operators.toxicity import ToxicityModel, fit_toxicity
 from corpusloom.plans.metadata import run_meta
 from corpusloom.sources.jsonl import objects_only, read_jsonl, write_report
@@ -127,10 +127,9 @@ def run_pipeline(
         stats.summarize_exclusive(stages.clean, models.language, SAMPLE_LINES),
         "clean_category_pct",
     )
-    lm = models.lm or BigramModel.load(fit_lm(stages.clean))
     report(
         quality.quality_report(
-            stages.clean, models.language, models.toxicity, lm, SAMPLE_QUALITY
+            stages.clean, models.language, models.toxicity, models.lm, SAMPLE_QUALITY
         ),
         "quality_report",
     )

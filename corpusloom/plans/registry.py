@@ -379,7 +379,17 @@ def cleaning_flow(spark, sf):
 def quality_report(spark, sf):
     report = quality.quality_report(
         tables.documents(spark, sf), models.language_model(spark, sf),
-        models.toxicity_model(spark, sf), models.bigram_model(spark, sf),
+        models.toxicity_model(spark, sf),
+    )
+    return rounded(report)
+
+
+@query
+def quality_report_all(spark, sf):
+    """The same over every document."""
+    report = quality.quality_report(
+        tables.documents(spark, sf), models.language_model(spark, sf),
+        models.toxicity_model(spark, sf), models.bigram_model(spark, sf), n=None,
     )
     return rounded(report)
 

@@ -27,12 +27,18 @@ def build_session(cpus: int | str = "*", app: str = "corpusloom") -> SparkSessio
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only if unset."""
+    """The shared folder named by the session.
+
+    Where none is named, a local session gets a temporary one; a cluster, whose
+    machines would not see each other's files, gets an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -10,16 +10,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input of a few files.
 
-    The work per document is far larger than the shuffle. A large input has more
-    splits than cores and is returned as it is.
+    Only inputs of at most SPREAD_BYTES are shuffled, by the optimizer's estimate; any
+    larger one is read as it is split. The rows are the same either way.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size > SPREAD_BYTES:
         return df
-    return df.repartition(cores, "ord")
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, "ord")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:

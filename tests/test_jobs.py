@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from corpusloom.plans import models, pipeline
+from corpusloom.plans import models, oracle, pipeline, registry
 from corpusloom.sources import tables
 from corpusloom.streaming.cleaning import clean_stream, write_clean_stream
 
@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_queries_without_sql_are_few(spark):
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"bpe_merges"}
+    assert set(registry.all_queries()) - set(oracle.all_sql()) == {"bpe_merges"}
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import bpe, clean, dedup, language, packing, sample, sharding, stats
+from corpusloom.operators import bpe, clean, dedup, language, packing, perplexity, sample, sharding, stats
 from corpusloom.operators import tokens as tk
 from corpusloom.sources import jsonl, tables
 
@@ -289,3 +289,37 @@ def test_cleaning_keeps_every_document_once(spark, sf_dir):
 def test_histogram_of_equal_values(spark):
     rows = stats.histogram(spark.createDataFrame([(5,), (5,)], "length int"), 4).orderBy("bin").collect()
     assert sum(r.docs for r in rows) == 2 and rows[0].low == 4.5 and rows[-1].high == 5.5
+
+
+def test_special_tokens_are_cut_out_without_recursion(spark):
+    texts = ["<|bos|>" + "<" * 1_000_000, "a  <|eos|> b<<|pad|>>c", "<|unk|><|unk|>", "plain <text|>"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(tk.pretokens(F.col("text"))).collect()]
+    assert got[0] == ["<|bos|>", "<" * 1_000_000]
+    assert got[1] == ["a", "  ", "<|eos|>", " b", "<", "<|pad|>", ">", "c"]
+    assert got[2] == ["<|unk|>", "<|unk|>"]
+    assert "".join(got[3]) == texts[3]
+
+
+def test_null_texts_are_never_the_longest(spark):
+    rows = [(i, "x" * i if i % 3 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "ord long, text string")
+    paths = [[r.ord for r in sample.longest_docs(df, 5, direct_rows=d).collect()] for d in (0, 1000)]
+    assert paths[0] == paths[1] == [38, 37, 35, 34, 32]
+    every = sample.longest_docs(df, 40).collect()
+    assert len(every) == 40 and every[-1].n_chars is None
+
+
+def test_model_of_a_sample_scores_like_the_whole_model(spark):
+    texts = [(i, f"the cat {'sat ' * (i % 4)}on mat {i % 7}") for i in range(60)]
+    df = spark.createDataFrame(texts, "ord long, text string")
+    sample_ = df.filter("ord < 5")
+    whole = perplexity.BigramModel.load(perplexity.fit_lm(df))
+    part = perplexity.lm_for(df, sample_)
+    scored = [perplexity.perplexity(sample_, m).orderBy("ord").collect() for m in (whole, part)]
+    assert scored[0] == scored[1] and len(part.tokens) < len(whole.tokens) + 1
+
+
+def test_profile_keeps_every_trigram(spark):
+    df = spark.createDataFrame([("abcd", "en"), ("wxyz", "fr")], "text string, lang string")
+    assert language.fit_profile(df).select("gram").distinct().count() == 8
