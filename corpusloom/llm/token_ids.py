@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Chunks that a worker remembers; beyond them it starts again.
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 400_000
 
 _PLAIN = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _MARKS = "[.,;:!?]+"
@@ -39,7 +39,7 @@ def _byte_letters() -> dict[int, str]:
 class TokenIds:
     """ids(text): the little-endian ids of a text as bytes, `dtype` wide."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,7 +49,7 @@ class TokenIds:
         self._code, self._tokenize = self.dtype.char, self._tok.model.tokenize
         self._letters = str.maketrans(_byte_letters())
         self._spaced = self._tok.normalizer is None
-        memo = _Memo(self._encode)
+        memo = _Memo(self._encode, memo_chunks)
         self._get, self._chunks = memo.__getitem__, (_SPACED_CHUNK if self._spaced else _CHUNK).findall
 
     def _encode(self, chunk: str) -> bytes:
@@ -81,13 +81,13 @@ class TokenIds:
 
 
 class _Memo(dict):
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self._encode = encode
+        self._encode, self._most = encode, most
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self._encode(chunk)
-        if len(self) >= MEMO_CHUNKS:
+        if len(self) >= self._most:
             self.clear()
         if len(chunk) < 100:
             self[chunk] = ids
@@ -95,9 +95,9 @@ class _Memo(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer(path: str) -> TokenIds:
+def tokenizer(path: str, memo_chunks: int = MEMO_CHUNKS) -> TokenIds:
     """One per worker and file, with what it remembers."""
-    return TokenIds(path)
+    return TokenIds(path, memo_chunks)
 
 
 def crc_of(ids: np.ndarray, before: int = 0) -> int:

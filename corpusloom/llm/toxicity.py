@@ -35,7 +35,7 @@ PASSES, ROW_STEP, SOFT_STEP, DECAY = 45, 0.06, 0.2, 3e-5
 #: A subword keeps a vector if one in so many texts has it; one text in CALIBRATE sets the threshold only.
 ONE_IN, CALIBRATE = 60, 5
 #: Words whose sums a worker remembers.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
 
