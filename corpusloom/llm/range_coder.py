@@ -26,6 +26,8 @@ from corpusloom.llm.token_ids import tokenizer
 
 #: Ids per block, blocks per group (the lockstep width), and rows of a block's order-1 and order-2 tables.
 BLOCK, GROUP, TABLE_BITS = 2048, 2048, 9
+#: Chunks that a writing task remembers, more than elsewhere: it does little else with its memory.
+MEMO_CHUNKS = 900_000
 MAGIC = b"CLRC1\n"
 
 _CONTEXTS = 16  # of two confidences
@@ -285,7 +287,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 0, par
     )
 
     def write(batches):
-        tok, writer = tokenizer(tokenizer_path), None
+        tok, writer = tokenizer(tokenizer_path, MEMO_CHUNKS), None
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 if writer is None:
