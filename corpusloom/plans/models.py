@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import language, perplexity, tokens, toxicity
+from corpusloom.operators import language, tokens, toxicity
+from corpusloom.session import materialise
 from corpusloom.sources import tables
 
 _FITTED: dict[tuple[str, str, str], object] = {}
@@ -31,6 +32,13 @@ def language_model(spark: SparkSession, sf_dir: str) -> language.LanguageModel:
     return _once(spark, sf_dir, "language", lambda: language.fit_language(docs))
 
 
+def toxicity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fit():
+        return materialise(toxicity.fit_toxicity(labelled_docs(spark, sf_dir)), "toxicity-model")
+
+    return _once(spark, sf_dir, "toxicity-table", fit)
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
     def fit():
         return toxicity.ToxicityModel.load(
@@ -40,14 +48,6 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
     return _once(spark, sf_dir, "toxicity", fit)
 
 
-def bigram_model(spark: SparkSession, sf_dir: str) -> perplexity.BigramModel:
-    docs = tables.documents(spark, sf_dir).select("text")
-    return _once(
-        spark, sf_dir, "lm",
-        lambda: perplexity.BigramModel.load(perplexity.fit_lm(docs)),
-    )
-
-
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.documents(spark, sf_dir).select("text")
     return tokens.fit_vocab(tokens.pretoken_counts(docs))

@@ -214,7 +214,7 @@ def toxicity_model(spark, sf):
 @query
 def toxicity_scores(spark, sf):
     docs = tables.documents(spark, sf).select("ord", "text")
-    scored = toxicity.toxicity_score(docs, models.toxicity_model(spark, sf))
+    scored = toxicity.toxicity_by_join(docs, models.toxicity_table(spark, sf))
     return rounded(scored.select("ord", "log_odds", "toxicity"))
 
 
@@ -226,7 +226,7 @@ def lm_counts(spark, sf):
 @query
 def doc_perplexity(spark, sf):
     docs = tables.documents(spark, sf).select("ord", "text")
-    scored = perplexity.perplexity(docs, models.bigram_model(spark, sf))
+    scored = perplexity.corpus_perplexity(docs)
     return rounded(scored.select("ord", "perplexity"))
 
 
@@ -389,7 +389,7 @@ def quality_report_all(spark, sf):
     """The same over every document."""
     report = quality.quality_report(
         tables.documents(spark, sf), models.language_model(spark, sf),
-        models.toxicity_model(spark, sf), models.bigram_model(spark, sf), n=None,
+        models.toxicity_table(spark, sf), n=None,
     )
     return rounded(report)
 

@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import bpe, clean, dedup, language, packing, perplexity, sample, sharding, stats
+from corpusloom.operators import (
+    bpe, clean, dedup, language, lookup, packing, perplexity, sample, sharding, stats, toxicity,
+)
 from corpusloom.operators import tokens as tk
 from corpusloom.sources import jsonl, tables
 
@@ -320,6 +322,25 @@ def test_model_of_a_sample_scores_like_the_whole_model(spark):
     assert scored[0] == scored[1] and len(part.tokens) < len(whole.tokens) + 1
 
 
+def test_models_over_the_cap_score_by_join_like_models_in_memory(spark, monkeypatch):
+    texts = [(i, f"the cat {'sat ' * (i % 4)}on mat {'abcdefg'[i % 7]} w{'xyz'[i % 3] * (i % 9)}") for i in range(60)]
+    df = spark.createDataFrame([*texts, (60, None), (61, ""), (62, "one")], "ord long, text string")
+    labels = df.select("text", (F.col("ord") % 3 == 0).cast("int").alias("toxic"))
+    odds = toxicity.fit_toxicity(labels)
+    whole = perplexity.BigramModel.load(perplexity.fit_lm(df))
+    expected = perplexity.perplexity(toxicity.toxicity_score(df, toxicity.ToxicityModel.load(odds)), whole)
+    columns = ("ord", "log_odds", "loss", F.round("perplexity", 9))
+    expected = expected.select(*columns).orderBy("ord").collect()
+    # No table may be loaded any more, and most grams are joined by shuffle.
+    monkeypatch.setattr(lookup, "small_table", None)
+    monkeypatch.setattr(perplexity, "small_table", None)
+    monkeypatch.setattr(lookup, "HOT_KEYS", 20)
+    scored = perplexity.corpus_perplexity(toxicity.toxicity_by_join(df, odds))
+    got = scored.select(*columns).orderBy("ord").collect()
+    assert [tuple(r)[:2] + tuple(r)[3:] for r in got] == [tuple(r)[:2] + tuple(r)[3:] for r in expected]
+    assert [r.loss for r in got if r[3] is not None] == [r.loss for r in expected if r[3] is not None]
+
+
 def test_profile_keeps_every_trigram(spark):
     df = spark.createDataFrame([("abcd", "en"), ("wxyz", "fr")], "text string, lang string")
     assert language.fit_profile(df).select("gram").distinct().count() == 8
