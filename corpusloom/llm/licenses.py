@@ -114,22 +114,59 @@ def evaluate(postfix: list[str]) -> tuple[set[str], float]:
             if token == "with":
                 stack.append((left, min(1.0, a + WITH_STEP)))
             else:
-                stack.append((left | right, max(a, b) if token == "or" else min(a, b)))
+                if len(left) < len(right):
+                    left, right = right, left
+                left |= right
+                stack.append((left, max(a, b) if token == "or" else min(a, b)))
         else:
             label = label_of(token)
             stack.append(({label}, FREEDOM.get(label, 0.5)))
     return stack[0]
 
 
-def read_expression(line: str) -> tuple[set[str], float] | None:
-    """The longest well-formed expression that the line starts with; None if there is none."""
-    tokens = _TOKEN.findall(line.lower())
-    for n in range(len(tokens), 0, -1):
-        try:
-            return evaluate(to_postfix(" ".join(tokens[:n])))
-        except ValueError:
-            continue
-    return None
+def read_expression(text: str, start: int = 0) -> tuple[set[str], float] | None:
+    """The longest well-formed expression that the line at `start` starts with; None if there is none.
+
+    One pass: the shunting-yard runs on while the tokens can be continued, and what counts is what it had
+    where the expression was last complete. A line's end is one of the expression, unless a parenthesis is
+    open.
+    """
+    out: list[str] = []
+    waiting: list[str] = []
+    operand, depth, last = True, 0, start
+    complete: tuple[int, list[str]] | None = None  # how much of out, and the operators after it
+    for found in _TOKEN.finditer(text, start):
+        token = found[0]
+        if not depth and "\n" in text[last : found.start()]:
+            break
+        last = found.end()
+        if token == "(":
+            if not operand:
+                break
+            waiting.append(token)
+            depth += 1
+        elif token == ")":
+            if operand or not depth:
+                break
+            while (top := waiting.pop()) != "(":
+                out.append(top)
+            depth -= 1
+        elif token in _PRECEDENCE:
+            if operand:
+                break
+            while waiting and waiting[-1] != "(" and _PRECEDENCE[waiting[-1]] >= _PRECEDENCE[token]:
+                out.append(waiting.pop())
+            waiting.append(token)
+            operand = True
+        else:
+            if not operand:
+                break
+            out.append(token)
+            operand = False
+        if not operand and not depth:
+            # Outside parentheses at most one operator of each precedence waits.
+            complete = len(out), waiting[::-1]
+    return evaluate(out[: complete[0]] + complete[1]) if complete else None
 
 
 @functools.lru_cache(maxsize=1)
@@ -145,10 +182,6 @@ def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     return phrases, tags
 
 
-#: Characters after a tag in which its expression must stand.
-_TAG_LINE = 500
-
-
 def scan(text: str) -> dict:
     phrases, tags = _automata()
     data = text.encode()
@@ -163,8 +196,7 @@ def scan(text: str) -> dict:
     freedom = [FREEDOM[label] for label in labels]
     lower = data.lower().decode()  # ASCII only, as in the words
     for end, _ in tags.iter(lower):
-        line = lower[end + 1 : end + 1 + _TAG_LINE].split("\n", 1)[0]
-        if (found := read_expression(line)) is not None:
+        if (found := read_expression(lower, end + 1)) is not None:
             labels |= dict.fromkeys(found[0], TAG_WEIGHT)
             freedom.append(found[1])
     at = (None, None)

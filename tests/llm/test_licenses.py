@@ -49,5 +49,16 @@ def test_tags():
     assert found["labels"] == "apache,mit" and found["n_base"] == 0 and found["score"] > 0.9
 
 
+def test_long_and_wrapped_expressions():
+    long = "SPDX-License-Identifier: " + " AND ".join(["MIT"] * 60_000 + ["GPL-3.0-only"]) + "\nISC"
+    found = licenses.scan(long)
+    assert found["labels"] == "gpl,mit" and found["freedom"] == 0.4
+    found = licenses.scan("SPDX-License-Identifier: (MIT OR\n Apache-2.0) AND GPL-2.0\nAND ISC")
+    assert found["labels"] == "apache,gpl,mit" and found["freedom"] == 0.4
+    # What comes before the point at which it breaks off still counts.
+    assert licenses.scan("License-Expression: MIT OR (ISC AND\nBSD-3-Clause")["labels"] == "mit"
+    assert licenses.scan("License-Expression: MIT\nOR ISC")["labels"] == "mit"
+
+
 def test_empty(make_docs):
     assert licenses.scan_documents(make_docs([])).collect() == []
