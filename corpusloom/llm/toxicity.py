@@ -25,15 +25,15 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import id_text
 
-#: At most so many labelled texts of each class, chosen by hash, and so many characters of each, are
-#: what the model is fitted on.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2_000, 4_000, 4_000
+#: At most so many labelled texts of each class, chosen by hash and taken whole, are what the model is
+#: fitted on.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
 #: Rows and width of the embedding matrix, lengths of n-grams.
 ROWS, WIDTH, GRAMS = 1 << 17, 3, (3, 4, 5)
 #: Passes over the sample, step sizes of embeddings and softmax, pull of the embeddings towards zero.
 PASSES, ROW_STEP, SOFT_STEP, DECAY = 45, 0.06, 0.2, 3e-5
-#: A subword keeps a vector if one in so many texts has it; one text in CALIBRATE sets the threshold only.
-ONE_IN, CALIBRATE = 60, 5
+#: A subword keeps a vector if so many texts have it; one text in CALIBRATE sets the threshold only.
+LEAST_TEXTS, CALIBRATE = 3, 5
 #: Words whose sums a worker remembers.
 MEMO_WORDS = 150_000
 
@@ -76,13 +76,13 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> Mode
     grams = [np.array(subwords(w), np.int32) for w in vocabulary]
     n_grams = np.array([len(g) for g in grams], np.int64)
     gram_of, word_of = np.concatenate(grams), np.repeat(np.arange(len(grams), dtype=np.int32), n_grams)
-    # Subwords of few texts tell texts apart, not classes; common ones tell little.
+    # Subwords of one or two texts tell texts apart, not classes; common ones tell little.
     texts_with = np.zeros(ROWS, np.int64)
     for which, _ in each:
         if len(which):
             texts_with[np.unique(np.concatenate([grams[w] for w in which.tolist()]))] += 1
     n = len(texts)
-    kept = texts_with >= max(2, n // ONE_IN)
+    kept = texts_with >= LEAST_TEXTS
     scale = np.where(kept, np.log(n / np.maximum(texts_with, 1)) + 1e-3, 0.0)
     del grams
     word = np.concatenate([w for w, _ in each])
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = known.filter("toxic = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC).union(
         known.filter("toxic = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN)
     )
-    texts = id_text(docs).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    texts = id_text(docs).select("doc_id", "text")
     rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "text").agg(F.max("toxic").alias("toxic"))
     found = [(r.text, int(r.toxic)) for r in rows.collect()]  # bounded by the sample
     found.sort(key=lambda r: zlib.crc32(r[0].encode()))

@@ -33,6 +33,21 @@ def test_learns_and_catches_misspellings(spark, make_docs):
     assert average(clean + " zorgless krunttos blamfitt zorglle") > average(clean)
 
 
+def test_words_far_into_a_text_teach(spark, make_docs):
+    front = "plain words of no kind " * 200
+    rows = [(i, front + t, y) for i, t, y in corpus(200)]
+    docs = make_docs([(i, t) for i, t, _ in rows])
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    average = lambda t: toxicity.average(toxicity._Sums(model.logit).__getitem__, t)
+    assert all(average(front + bad) > average(front) for bad in BAD)
+
+
+def test_rare_words_get_a_vector():
+    texts = [f"{'vilest ' if i in (1, 7, 13, 19) else ''}calm {i % 2} tree" for i in range(600)]
+    model = toxicity.fit(texts, [int("vilest" in t or i % 5 == 0) for i, t in enumerate(texts)], 0.2)
+    assert model.logit[toxicity.subwords("vilest")].any()
+
+
 def test_held_out_labels_are_never_read(spark, make_docs):
     rows = corpus(200)
     docs = make_docs([(i, t) for i, t, _ in rows])
