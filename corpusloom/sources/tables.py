@@ -10,19 +10,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A file of a few row groups is read by as few tasks; up to this many bytes it is dealt out again.
 SPREAD_BYTES = 1 << 30
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input of a few files.
+def file_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """Bytes of the files of some tables, by listing them; no file is opened."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in names]
+    files = spark.read.format("binaryFile").load(paths).select("length")
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
-    Only inputs of at most SPREAD_BYTES are shuffled, by the optimizer's estimate; any
-    larger one is read as it is split. The rows are the same either way.
+
+def spread(df: DataFrame, sf_dir: str, *names: str) -> DataFrame:
+    """Use every core on an input of a few small files; any larger one is read as it is split.
+
+    The rows are the same either way.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    if size > SPREAD_BYTES:
+    spark = df.sparkSession
+    if file_bytes(spark, sf_dir, *names) > SPREAD_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, "ord")
+    return df.repartition(spark.sparkContext.defaultParallelism, "ord")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +39,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, text, lang) of the document table; the id is the order key."""
-    return spread(_documents(spark, sf_dir))
+    return spread(_documents(spark, sf_dir), sf_dir, "documents")
 
 
 # Pages come before the documents: ids -1, -2, ... can never meet a document id.
@@ -88,7 +95,7 @@ def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     every = docs.select("ord", noisy.alias("text"), "lang").unionByName(pages(spark, sf_dir))
-    return spread(every)
+    return spread(every, sf_dir, "documents", "pages")
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
