@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm import (
     chat,
     decontaminate,
+    fair_queue,
+    hard_negatives,
+    importance,
     licenses,
     order_minhash,
     packing,
@@ -96,6 +99,25 @@ def op10_substring_dedup(spark, sf):
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_hard_negatives(spark, sf):
+    """Every hundredth embedding against all others; a seventh of the labels is moved on by one."""
+    rows = hard_negatives.integer_rows(table(spark, sf, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+@query
+def op12_fair_mix(spark, sf):
+    mixed = fair_queue.mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_importance_resampling(spark, sf):
+    return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _DOC_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -140,4 +162,65 @@ SQL: dict[str, str] = {
             ANTI JOIN gone ON d.doc_id = gone.doc_id AND d.p = gone.p GROUP BY d.doc_id)
         SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN per USING (doc_id) LEFT JOIN left_ USING (doc_id)""",
+    "op11_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score,
+            score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 10""",
+    "op12_fair_mix": f"""
+        WITH d AS (SELECT doc_id, source, len({_DOC_WORDS}) AS size FROM documents),
+        src AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+            FROM d GROUP BY source),
+        w AS (SELECT *, (rank % 3 + 1)::DOUBLE AS weight, 3.0::DOUBLE * n AS lim FROM src),
+        f AS (SELECT *, lim * (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0))
+                <= weight * (sum(n) OVER () - coalesce(sum(lim) OVER o, 0)) AS stops
+            FROM w WINDOW o AS (ORDER BY lim / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT source, rank, n, CASE WHEN stops THEN lim ELSE weight
+                * (sum(n) OVER () - coalesce(sum(lim) FILTER (stops) OVER (), 0))::DOUBLE
+                / greatest(sum(weight) OVER () - coalesce(sum(weight) FILTER (stops) OVER (), 0), 1) END AS target FROM f),
+        q AS (SELECT d.doc_id, d.size, t.rank, t.n, t.target, row_number() OVER o AS place,
+                (sum(size) OVER o - size)::BIGINT AS sent
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+            WINDOW o AS (PARTITION BY t.rank ORDER BY md5('2024:' || coalesce(d.doc_id::VARCHAR, '')),
+                d.doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        pk AS (SELECT *, least(1024, size - 1024 * part) AS words,
+                (turn * n + sent + least(1024 * (part + 1), size))::DOUBLE / target AS finish
+            FROM (SELECT *, unnest(range((size + 1023) // 1024)) AS part FROM q), range(3) r(turn) WHERE target > 0),
+        st AS (SELECT rank, place, words, (sum(words) OVER (ORDER BY finish, rank, turn, place, part
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - words)::BIGINT AS before FROM pk),
+        got AS (SELECT rank, place, sum(least(words, b - before))::BIGINT AS taken
+            FROM st, (SELECT sum(n) AS b FROM src) WHERE before < b GROUP BY rank, place)
+        SELECT doc_id, size, n AS source_size, target, coalesce(taken, 0) AS taken FROM q LEFT JOIN got USING (rank, place)""",
+    "op13_importance_resampling": f"""
+        WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS w FROM documents),
+        f AS (SELECT r AS r, unnest(w) AS word FROM d UNION ALL
+            SELECT 0 AS r, unnest({_ITEM_WORDS}) AS word FROM benchmark),
+        b AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(word)),
+                lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::INT, 2))::BIGINT)),
+                lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT word FROM f), crc),
+        n AS (SELECT bucket, count(*) FILTER (r > 0) AS s, count(*) FILTER (r = 0) AS t FROM f JOIN b USING (word) GROUP BY bucket),
+        g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000)
+            / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000))))::BIGINT AS gain FROM n),
+        wt AS (SELECT r, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM f JOIN b USING (word) JOIN g USING (bucket) WHERE r > 0 GROUP BY r),
+        sc AS (SELECT r, doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                (('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM d LEFT JOIN wt USING (r)),
+        k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank,
+            10 * count(*) OVER () // 100 AS drawn FROM sc WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM sc LEFT JOIN k USING (r)""",
 }
