@@ -61,6 +61,8 @@ BLOCK_SIZE = 2048
 SHARD_SIZE = 50_000
 SPLIT_RATIOS = (0.98, 0.01, 0.01)
 BASE_VOCAB_SIZE = 50_257
+# All base ids but the 256 bytes and the end of text.
+BASE_MERGES = BASE_VOCAB_SIZE - 257
 
 # --- names -------------------------------------------------------------------
 TARGET_LANG = "EN"
@@ -71,6 +73,7 @@ VERDICTS = [
     "KEPT",
 ]
 HTML_COUNTER = "HTML_STRIPPED"
+END_OF_TEXT = "<|endoftext|>"
 SPECIAL_TOKENS = ["<|bos|>", "<|eos|>", "<|pad|>", "<|unk|>"]
 SPLITS = ["train", "val", "test"]
 FLOW_NODES = ["Raw Data", "HTML Present", "English", "Filtered Out", "Final Kept"]

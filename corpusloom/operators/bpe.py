@@ -1,24 +1,39 @@
-"""Byte-pair merges trained by Spark aggregates.
+"""Byte-pair merges: trained by Spark aggregates, applied to distinct pre-tokens.
 
-Words stay a DataFrame of (word, n, symbols); `symbols` is one string in which
-every symbol stands between its own pair of brackets, so a merge is a plain
-string replacement: "<a><b>" becomes "<ab>" for all occurrences, left to right.
-The brackets are characters the byte alphabet does not contain.
+Words stay a DataFrame of (word, n, symbols); `symbols` is one string in which every symbol stands
+between its own pair of brackets, "<a><b>". The brackets are characters the byte alphabet does not
+contain.
+
+Training keeps an index from each pair to the words that hold it, sorted by pair, so that a round reads
+only the words that its merges touch. These words give the changes of the pair counts; the most
+frequent pairs and their counts, a table of bounded size, are kept by the driver, which picks the next
+merges. After a number of merges the words are rewritten and the index is built again: the only passes
+over all words.
 """
 
 from __future__ import annotations
 
+import functools
+import heapq
+from collections import Counter
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import fixed_values as fx
 from corpusloom.functions.text import let
 from corpusloom.session import materialise
 
 OPEN, CLOSE = "\u2039", "\u203a"
-# Best pairs looked at per round; a round may apply several merges.
-CANDIDATES = 64
-# Merges applied on the fly before the words are rewritten.
-REWRITE_EVERY = 16
+#: Most frequent pairs that the driver keeps, merges guessed per round, merges between rewrites.
+TRACKED, GUESSES, REWRITE_EVERY = 100_000, 128, 512
+
+Pair = tuple[str, str]
+
+
+# --- bytes and symbols ----------------------------------------------------------
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -28,6 +43,12 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def byte_order() -> list[int]:
+    """Byte values in the order of their ids: the printable ones first."""
+    alphabet = byte_alphabet()
+    return sorted(range(256), key=lambda b: (alphabet[b] != chr(b), b))
+
+
 def byte_symbols(word: Column) -> Column:
     """UTF-8 bytes of a word as bracketed symbols."""
     names = F.lit([f"{OPEN}{byte_alphabet()[b]}{CLOSE}" for b in range(256)])
@@ -42,92 +63,277 @@ def byte_symbols(word: Column) -> Column:
     return F.array_join(let(F.hex(F.encode(word, "UTF-8")), symbols), "")
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """(left, right, n): occurrences of adjacent symbols over the corpus."""
+def split_symbols(symbols: Column) -> Column:
+    return F.split(F.btrim(symbols, F.lit(OPEN + CLOSE)), CLOSE + OPEN)
+
+
+def bracketed(symbols: Iterable[str]) -> str:
+    return "".join(f"{OPEN}{s}{CLOSE}" for s in symbols)
+
+
+def unbracketed(symbols: str) -> list[str]:
+    return symbols[1:-1].split(CLOSE + OPEN)
+
+
+def merge_symbols(symbols: list[str], ranks: dict[Pair, int]) -> list[str]:
+    """Joins neighbours by falling rank, the leftmost first, until no pair has a rank.
+
+    A heap of (rank, place) over a linked list, so a token of n symbols costs n log n.
+    """
+    n, out = len(symbols), list(symbols)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [
+        (r, i, out[i], out[i + 1]) for i in range(n - 1) if (r := ranks.get((out[i], out[i + 1]))) is not None
+    ]
+    heapq.heapify(heap)
+    gone = [False] * n
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        # Entries of pairs that other merges have changed are left in the heap and skipped here.
+        if gone[i] or j >= n or out[i] != left or out[j] != right:
+            continue
+        out[i], gone[j], after[i] = left + right, True, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for k in (before[i], i):
+            if k >= 0 and after[k] < n and (r := ranks.get((out[k], out[after[k]]))) is not None:
+                heapq.heappush(heap, (r, k, out[k], out[after[k]]))
+    return [s for s, lost in zip(out, gone, strict=True) if not lost]
+
+
+# --- training -------------------------------------------------------------------
+
+
+def word_symbols(counts: DataFrame) -> DataFrame:
+    """(word, n, symbols) from (token, n), in single bytes."""
+    return counts.filter(F.col("token") != "").select(
+        F.col("token").alias("word"), "n", byte_symbols(F.col("token")).alias("symbols")
+    )
+
+
+def word_pairs(words: DataFrame) -> DataFrame:
+    """(pair, times, word, n, symbols): the pairs of neighbours of each word, each once."""
 
     def pairs(s: Column) -> Column:
         return F.zip_with(
-            F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s)),
-            lambda a, b: F.struct(a.alias("left"), b.alias("right")),
+            F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))), F.slice(s, 2, F.size(s)),
+            lambda a, b: F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE)),
         )
 
-    symbols = F.split(F.btrim("symbols", F.lit(OPEN + CLOSE)), CLOSE + OPEN)
-    return (
-        words.select("n", F.inline(let(symbols, pairs)))
-        .groupBy("left", "right").agg(F.sum("n").alias("n"))
-    )
+    each = words.select("word", "n", "symbols", let(split_symbols(F.col("symbols")), pairs).alias("pairs"))
+    one = each.select("*", F.explode(F.array_distinct("pairs")).alias("pair"))
+    times = F.size("pairs") - F.size(F.array_remove("pairs", F.col("pair")))
+    return one.select("pair", times.alias("times"), "word", "n", "symbols")
 
 
-def _batch(best: list, room: int) -> list[tuple[str, str]]:
-    """Leading merges that one-by-one training would also pick next.
+class _Counts:
+    """Counts of pairs and the most frequent one, ties to the pair that sorts first."""
 
-    After merging (a, b), a new pair is at most as frequent as some old pair
-    that touches a or b, so the runner-up stays ahead as long as its count is
-    strictly larger than all that follow and it shares no symbol with the merges
-    before it. A symbol paired with itself ends the batch: (aa, a) is bounded by
-    the merged pair alone.
-    """
-    chosen, used = [], set()
-    for i, (left, right, n) in enumerate(best[:room]):
-        strict = i + 1 < len(best) and best[i + 1].n < n
-        if chosen and (not strict or {left, right} & used):
-            break
-        chosen.append((left, right))
-        used |= {left, right}
-        if left == right:
-            break
-    return chosen
+    def __init__(self, counts: dict[Pair, int], floor: tuple[int, Pair] | None):
+        #: Pairs that are not kept come after `floor`, by falling count and name.
+        self.n, self.floor = counts, floor
+        self._heap = [(-n, pair) for pair, n in counts.items()]
+        heapq.heapify(self._heap)
+
+    def add(self, changes: dict[Pair, int]) -> None:
+        for pair, change in changes.items():
+            self.n[pair] = n = self.n.get(pair, 0) + change
+            heapq.heappush(self._heap, (-n, pair))
 
+    def head(self, known: set[str], most: int) -> list[Pair]:
+        """The next pairs that spell no known symbol, and each another one; none beyond the floor."""
+        taken: list[tuple[int, Pair]] = []
+        spelt: set[str] = set()
+        while self._heap and len(taken) < most:
+            n, pair = entry = self._heap[0]
+            if n >= 0 or (self.floor and entry > self.floor):
+                break
+            heapq.heappop(self._heap)
+            # Entries of earlier counts stay in the heap until they come up.
+            if self.n[pair] == -n and pair[0] + pair[1] not in known and entry not in taken[-1:]:
+                taken.append(entry)
+        for entry in taken:
+            heapq.heappush(self._heap, entry)
+        return [p for _, p in taken if not (p[0] + p[1] in spelt or spelt.add(p[0] + p[1]))]
 
-def train_bpe(counts: DataFrame, merges: int = 200) -> tuple[DataFrame, DataFrame]:
+
+class _Index:
+    """The words at one time, listed under each of their pairs, and the merges learned since."""
+
+    def __init__(self, words: DataFrame, tracked: int):
+        self.words = materialise(words, "words")
+        listed = word_pairs(self.words).repartitionByRange("pair").sortWithinPartitions("pair")
+        self.listed = materialise(listed, "pair-index")
+        sums = self.listed.groupBy("pair").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
+        sides = split_symbols(F.col("pair"))
+        ranked = sums.select(F.get(sides, F.lit(0)).alias("left"), F.get(sides, F.lit(1)).alias("right"), "n")
+        rows = ranked.orderBy(F.desc("n"), "left", "right").limit(tracked).collect()
+        floor = (-rows[-1].n, (rows[-1].left, rows[-1].right)) if len(rows) == tracked else None
+        self.counts = _Counts({(r.left, r.right): r.n for r in rows}, floor)
+        self.pending: list[Pair] = []
+        self._made: dict[str, str] = {}  # symbol made since -> a listed pair of all words that hold it
+
+    def _listed_under(self, pair: Pair) -> str:
+        """A pair of the index that all words with the given pair hold."""
+        for symbol in pair:
+            if symbol in self._made:
+                return self._made[symbol]
+        return bracketed(pair)
+
+    def changes(self, batch: list[Pair]) -> list[dict[Pair, int]]:
+        """How the counts change with each merge of a sequence, from the words that it touches."""
+        wanted = {self._listed_under(p) for p in batch}
+        touched = self.listed.filter(F.col("pair").isin(sorted(wanted))).select("pair", "n", "symbols")
+        old = {p: i for i, p in enumerate(self.pending)}
+        steps = {p: i for i, p in enumerate(batch)}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: Counter = Counter()
+            for rows in batches:
+                for key, n, symbols in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    first = unbracketed(symbols)
+                    # A word that is listed under several of the pairs counts under the smallest one.
+                    if len(wanted) > 1 and min(wanted & {bracketed(p) for p in zip(first, first[1:])}) != key:
+                        continue
+                    now = merge_symbols(first, old) if old else first
+                    while hit := [steps[p] for p in zip(now, now[1:]) if p in steps]:
+                        step = min(hit)
+                        then = merge_symbols(now, {batch[step]: 0})
+                        for sign, word in ((-n, now), (n, then)):
+                            for pair in zip(word, word[1:]):
+                                found[step, *pair] += sign
+                        now = then
+            kept = [(*k, n) for k, n in found.items() if n]
+            columns = list(zip(*kept)) if kept else [[], [], [], []]
+            kinds = (pa.int32(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["step", "left", "right", "n"]
+            )
+
+        deltas = touched.mapInArrow(run, "step int, left string, right string, n long")
+        out: list[dict[Pair, int]] = [{} for _ in batch]
+        # Neighbours of the merged symbols: at most a few per merge and symbol of the vocabulary.
+        for step, left, right, n in deltas.groupBy("step", "left", "right").agg(F.sum("n").alias("n")).collect():
+            out[step][left, right] = n
+        return out
+
+    def learn(self, pair: Pair, change: dict[Pair, int]) -> None:
+        self._made[pair[0] + pair[1]] = self._listed_under(pair)
+        self.pending.append(pair)
+        # All of a pair with a symbol made since is seen; of the others only the kept ones are known.
+        made = self._made
+        self.counts.add({p: n for p, n in change.items() if p in self.counts.n or p[0] in made or p[1] in made})
+
+    def rewritten(self) -> DataFrame:
+        """All words with the pending merges applied."""
+        ranks = {p: i for i, p in enumerate(self.pending)}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in batches:
+                merged = [bracketed(merge_symbols(unbracketed(s), ranks)) for s in rows.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(1), pa.array(merged, pa.string())], ["word", "n", "symbols"]
+                )
+
+        if not ranks:
+            return self.words
+        return self.words.select("word", "n", "symbols").mapInArrow(run, "word string, n long, symbols string")
+
+
+def train_bpe(
+    counts: DataFrame, merges: int = 200, tracked: int = TRACKED, guesses: int = GUESSES,
+    rewrite_every: int = REWRITE_EVERY,
+) -> tuple[DataFrame, DataFrame]:
     """From (token, n): the merges (rank, left, right) and the encoded words.
 
-    Ties go to the pair that sorts first. Recent merges are applied on the fly; from
-    time to time the words are rewritten in the shared folder.
+    The most frequent pair is merged, ties going to the pair that sorts first; a pair that spells a known
+    symbol is never learned. Fewer merges than asked for are learned if no pair is left.
+
+    A round guesses a run of merges from the counts so far and has their changes worked out one after
+    the other. As long as the next guess is still the most frequent pair it is learned; the rest of
+    the guesses is thrown away. So the merges are those of one-by-one training, whatever is guessed.
     """
-    words = materialise(
-        counts.filter(F.col("token") != "").select(
-            F.col("token").alias("word"), "n", byte_symbols(F.col("token")).alias("symbols")
-        ),
-        "words",
-    )
-    learned: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
+    index = _Index(word_symbols(counts), tracked)
+    known = set(byte_alphabet().values())
+    learned: list[Pair] = []
+    guess = 2
     while len(learned) < merges:
-        current = words.withColumn("symbols", apply_merges(F.col("symbols"), pending))
-        best = (
-            pair_counts(current).orderBy(F.desc("n"), "left", "right").limit(CANDIDATES).collect()
-        )
-        batch = _batch(best, merges - len(learned))
-        if not batch:
+        batch = []
+        # The first merges shorten the words most: they are rewritten sooner.
+        if len(index.pending) < min(rewrite_every, 64 + len(learned) // 2):
+            batch = index.counts.head(known, min(guess, merges - len(learned)))
+        if batch:
+            right = 0
+            for pair, change in zip(batch, index.changes(batch), strict=True):
+                if index.counts.head(known, 1) != [pair]:
+                    break
+                index.learn(pair, change)
+                learned.append(pair)
+                known.add(pair[0] + pair[1])
+                right += 1
+            guess = min(guesses, max(2, 2 * right))
+        elif index.pending:
+            index = _Index(index.rewritten(), tracked)
+        elif index.counts.floor:
+            # All kept pairs spell known symbols.
+            tracked *= 4
+            index = _Index(index.words, tracked)
+        else:
             break
-        learned += batch
-        pending += batch
-        if len(pending) >= REWRITE_EVERY or len(learned) >= merges:
-            words = materialise(
-                words.withColumn("symbols", apply_merges(F.col("symbols"), pending)), "words"
-            )
-            pending = []
     rows = [(i, left, right) for i, (left, right) in enumerate(learned)]
     table = counts.sparkSession.createDataFrame(rows, "rank bigint, left string, right string")
-    return table, words
+    return table, materialise(index.rewritten(), "words")
 
 
-def apply_merges(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply merges in rank order to bracketed symbols."""
-    for left, right in merges:
-        symbols = F.replace(
-            symbols,
-            F.lit(f"{OPEN}{left}{CLOSE}{OPEN}{right}{CLOSE}"),
-            F.lit(f"{OPEN}{left}{right}{CLOSE}"),
-        )
-    return symbols
+# --- vocabulary and encoding ------------------------------------------------------
 
 
-def base_vocabulary(merges: DataFrame) -> list[str]:
-    """Symbols in id order: the 256 bytes in the published order, then the merges."""
+def bpe_vocab(merges: DataFrame) -> DataFrame:
+    """(id, token): the 256 bytes in the published order, the merged symbols by rank, the end of text."""
     alphabet = byte_alphabet()
-    printable = [b for b in range(256) if alphabet[b] == chr(b)]
-    order = printable + [b for b in range(256) if alphabet[b] != chr(b)]
-    learned = [r["left"] + r["right"] for r in merges.orderBy("rank").collect()]
-    return list(dict.fromkeys([alphabet[b] for b in order] + learned))
+    spark = merges.sparkSession
+    singles = spark.createDataFrame([(i, alphabet[b]) for i, b in enumerate(byte_order())], "id long, token string")
+    learned = merges.select((F.col("rank") + 256).alias("id"), F.concat("left", "right").alias("token"))
+    end = merges.agg((F.count(F.lit(1)) + 256).alias("id"), F.lit(fx.END_OF_TEXT).alias("token"))
+    return singles.unionByName(learned).unionByName(end)
+
+
+class Coder(dict):
+    """token -> ids, remembered up to a bounded number of tokens."""
+
+    MOST = 200_000
+
+    def __init__(self, merges: tuple[Pair, ...], special: tuple[tuple[str, int], ...]):
+        super().__init__()
+        alphabet = byte_alphabet()
+        self._byte = [alphabet[b] for b in range(256)]
+        self._ranks = {pair: i for i, pair in enumerate(merges)}
+        self._ids = {alphabet[b]: i for i, b in enumerate(byte_order())}
+        self._ids |= {a + b: 256 + i for i, (a, b) in enumerate(merges)}
+        self._special = dict(special)
+
+    def __missing__(self, token: str) -> list[int]:
+        if token in self._special:
+            return [self._special[token]]
+        symbols = merge_symbols([self._byte[b] for b in token.encode()], self._ranks)
+        ids = [self._ids[s] for s in symbols]
+        if len(self) >= self.MOST:
+            self.clear()
+        if len(token) < 100:
+            self[token] = ids
+        return ids
+
+
+@functools.lru_cache(maxsize=2)
+def coder(merges: tuple[Pair, ...], special: tuple[tuple[str, int], ...]) -> Coder:
+    """One per worker and vocabulary, with what it remembers."""
+    return Coder(merges, special)
+
+
+def load_merges(merges: DataFrame, most: int = fx.BASE_VOCAB_SIZE) -> tuple[Pair, ...]:
+    """The merges in rank order; their number is a parameter of the training, checked here."""
+    rows = merges.orderBy("rank").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} merges")
+    return tuple((r["left"], r["right"]) for r in rows)

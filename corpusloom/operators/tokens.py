@@ -1,40 +1,47 @@
-"""Tokenisation: vocabulary fitted by Spark, ids per document, length statistics."""
+"""Tokenisation: byte-pair ids per document, decoding, length statistics.
+
+Two encoders share one vocabulary. The base encoder knows the end of text as its only special token,
+the last base id; the extended one knows four others, with the ids after it, and reads a literal end of
+text as ordinary text.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fx
 from corpusloom.functions.text import strip_space
-from corpusloom.operators.lookup import ids_of, small_table, values_of
+from corpusloom.operators import bpe
+from corpusloom.operators.lookup import split_hot
 from corpusloom.operators.sample import first_n, smallest_n
-from corpusloom.session import broadcast_if_small, materialise
-
-
-_SPECIAL = "(?:" + "|".join(r"\Q" + t + r"\E" for t in fx.SPECIAL_TOKENS) + ")"
+from corpusloom.session import materialise
 
 
-def pretokens(col: Column) -> Column:
-    """Published pre-tokeniser pattern; literal special tokens stay whole.
+def pretokens(col: Column, special: list[str] = fx.SPECIAL_TOKENS) -> Column:
+    """Published pre-tokeniser pattern; literal special tokens stay whole, the longest first.
 
     A text is cut before and after each special token first, and the pattern runs on
     each part. No pattern here repeats a group, which would recurse once per repeat.
     """
+    names = sorted(special, key=lambda t: (-len(t), t))
+    any_special = "(?:" + "|".join(r"\Q" + t + r"\E" for t in names) + ")"
 
     def plain(part: Column) -> Column:
         return F.regexp_extract_all(part, F.lit(f"(?U){fx.PRETOKEN}"), F.lit(0))
 
-    parts = F.split(col, f"(?={_SPECIAL})|(?<={_SPECIAL})")
-    special = F.flatten(
-        F.transform(
-            parts, lambda p: F.when(p.isin(fx.SPECIAL_TOKENS), F.array(p)).otherwise(plain(p))
-        )
+    if not special:
+        return plain(col)
+    parts = F.split(col, f"(?={any_special})|(?<={any_special})")
+    cut = F.flatten(
+        F.transform(parts, lambda p: F.when(p.isin(special), F.array(p)).otherwise(plain(p)))
     )
-    return F.when(F.rlike(col, F.lit(_SPECIAL)), special).otherwise(plain(col))
+    return F.when(F.rlike(col, F.lit(any_special)), cut).otherwise(plain(col))
 
 
 def pretoken_counts(df: DataFrame) -> DataFrame:
@@ -53,34 +60,28 @@ def fit_vocab(counts: DataFrame, size: int = fx.BASE_VOCAB_SIZE) -> DataFrame:
     return top.select("token", (F.row_number().over(by_rank) - 1).alias("id"), "n")
 
 
-def special_tokens(vocab: DataFrame) -> DataFrame:
-    """(token, id): the ids after the last base id, in the fixed order."""
-    names = F.posexplode(F.lit(fx.SPECIAL_TOKENS)).alias("pos", "token")
-    first = vocab.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("first"))
-    return first.select("first", names).select(
-        "token", (F.col("first") + F.col("pos")).alias("id")
-    )
-
-
-@dataclass
+@dataclass(frozen=True)
 class Encoder:
-    """A vocabulary in driver memory: one entry per id, specials last."""
+    """Merges in rank order and the ids of the special tokens. Lossless: every text comes back.
+
+    The merges are a table of bounded size (a parameter of the training) and travel to the tasks.
+    """
 
-    tokens: list[str]
+    merges: tuple[bpe.Pair, ...]
+    special: dict[str, int] = field(hash=False)
 
     @classmethod
-    def load(cls, vocab: DataFrame) -> "Encoder":
-        rows = small_table(vocab.select("id", "token")).sort_values("id")
-        return cls(list(rows.token) + fx.SPECIAL_TOKENS)
+    def base(cls, merges: tuple[bpe.Pair, ...]) -> "Encoder":
+        return cls(merges, {fx.END_OF_TEXT: 256 + len(merges)})
 
-    @cached_property
-    def special(self) -> dict[str, int]:
-        base = len(self.tokens) - len(fx.SPECIAL_TOKENS)
-        return {t: base + i for i, t in enumerate(fx.SPECIAL_TOKENS)}
+    @classmethod
+    def extended(cls, merges: tuple[bpe.Pair, ...]) -> "Encoder":
+        first = 256 + len(merges) + 1
+        return cls(merges, {t: first + i for i, t in enumerate(fx.SPECIAL_TOKENS)})
 
     @property
     def vocab_size(self) -> int:
-        return len(self.tokens)
+        return max(self.special.values()) + 1
 
     @property
     def bos(self) -> int:
@@ -94,16 +95,91 @@ class Encoder:
     def pad(self) -> int:
         return self.special["<|pad|>"]
 
-    @property
-    def unk(self) -> int:
-        return self.special["<|unk|>"]
+    def pretokens(self, col: Column) -> Column:
+        return pretokens(col, list(self.special))
+
+    def ids_of(self, tokens: Column) -> Column:
+        """Ids of an array of pre-tokens, ARRAY<INT>; each distinct one is merged once per worker."""
+        merges, special = self.merges, tuple(self.special.items())
+
+        @F.arrow_udf("array<int>")
+        def encode(lists: pa.Array) -> pa.Array:
+            ids, ends, of, sizes = _encoded(lists, bpe.coder(merges, special))
+            lengths = np.diff(ends, prepend=0)[of]
+            # Place of each id in the dictionary's ids: where its token starts, and on from there.
+            upto = np.cumsum(lengths)
+            at = np.repeat(ends[of] - upto, lengths) + np.arange(int(lengths.sum()))
+            offsets = np.concatenate([[0], np.append(0, upto)[np.cumsum(sizes)]])
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[at], pa.int32()))
+
+        return encode(tokens)
+
+    def counts_of(self, tokens: Column) -> Column:
+        """Number of ids of an array of pre-tokens."""
+        merges, special = self.merges, tuple(self.special.items())
+
+        @F.arrow_udf("int")
+        def count(lists: pa.Array) -> pa.Array:
+            _, ends, of, sizes = _encoded(lists, bpe.coder(merges, special))
+            upto = np.append(0, np.cumsum(np.diff(ends, prepend=0)[of]))
+            return pa.array(np.diff(upto[np.cumsum(sizes)], prepend=0), pa.int32())
+
+        return count(tokens)
 
     def encode(self, col: Column) -> Column:
-        """Ids of a text, ARRAY<INT>; tokens outside the vocabulary become unk."""
-        return ids_of(pretokens(col), self.tokens, self.unk)
+        """Ids of a text, ARRAY<INT>; null for null."""
+        return F.when(col.isNotNull(), self.ids_of(self.pretokens(F.coalesce(col, F.lit("")))))
+
+    def count(self, col: Column) -> Column:
+        """Number of ids of a text; null for null."""
+        return F.when(col.isNotNull(), self.counts_of(self.pretokens(F.coalesce(col, F.lit("")))))
+
+    def token_bytes(self) -> list[bytes]:
+        """What each id stands for; ids without a token of this encoder stand for nothing."""
+        back = {s: b for b, s in bpe.byte_alphabet().items()}
+        out = [b""] * self.vocab_size
+        for i, b in enumerate(bpe.byte_order()):
+            out[i] = bytes([b])
+        for i, pair in enumerate(self.merges):
+            out[256 + i] = bytes(back[c] for c in "".join(pair))
+        for token, i in self.special.items():
+            out[i] = token.encode()
+        return out
 
     def decode(self, ids: Column) -> Column:
-        return F.array_join(values_of(ids, self.tokens), "")
+        """The text of an array of ids. Bytes are joined before they are read as UTF-8, as a character may
+        be spread over several ids; what is no UTF-8 (a cut character) becomes U+FFFD."""
+        table = pa.array(self.token_bytes(), pa.binary())
+
+        @F.arrow_udf("binary")
+        def join(lists: pa.Array) -> pa.Array:
+            taken = table.take(lists.flatten())
+            sizes = _sizes(lists)
+            lengths = np.append(0, np.cumsum(pc.binary_length(taken).to_numpy(zero_copy_only=False)))
+            offsets = np.concatenate([[0], lengths[np.cumsum(sizes)]]).astype("int32")
+            data = taken.buffers()[2] or pa.py_buffer(b"")
+            return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), data])
+
+        text = F.make_valid_utf8(join(F.coalesce(ids, F.array().cast("array<int>"))).cast("string"))
+        return F.when(ids.isNotNull(), text)
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype("int64")
+
+
+def _encoded(lists: pa.Array, coder: bpe.Coder) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the distinct tokens of a batch, their ends, the token of each element, the size of each list."""
+    tokens = lists.flatten().dictionary_encode()
+    each = [coder[t] for t in tokens.dictionary.to_pylist()]
+    ends = np.cumsum([len(e) for e in each], dtype=np.int64)
+    ids = np.fromiter((i for e in each for i in e), np.int64, int(ends[-1]) if len(ends) else 0)
+    return ids, ends, tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64), _sizes(lists)
+
+
+def special_tokens(spark: SparkSession, encoder: Encoder) -> DataFrame:
+    """(token, id) of an encoder."""
+    return spark.createDataFrame(list(encoder.special.items()), "token string, id long")
 
 
 def encode_docs(df: DataFrame, encoder: Encoder) -> DataFrame:
@@ -112,37 +188,33 @@ def encode_docs(df: DataFrame, encoder: Encoder) -> DataFrame:
     return df.filter(text != "").select("ord", encoder.encode(text).alias("input_ids"))
 
 
-def encode_docs_by_join(df: DataFrame, vocab: DataFrame, hot_rows: int = 50_000) -> DataFrame:
-    """The same for a vocabulary too large to send to the tasks.
+def encode_pretokens(counts: DataFrame, encoder: Encoder) -> DataFrame:
+    """(token, n, ids) from (token, n): each distinct pre-token is merged once in the whole job."""
+    return counts.select("token", "n", encoder.ids_of(F.array("token")).alias("ids"))
 
-    Tokens are joined with the vocabulary and gathered again per document. The
-    most frequent `hot_rows` tokens, the only ones that can be skewed, are joined
-    by broadcast; the others by shuffle.
+
+def encode_docs_by_join(df: DataFrame, encoder: Encoder) -> DataFrame:
+    """The same ids, with each distinct pre-token merged once in the whole job and joined back.
+
+    For texts with long or many rare tokens. Frequent pre-tokens, the only ones that can be skewed,
+    are joined by broadcast, the others by shuffle; the ids of a document are flattened in place order.
     """
-    special = special_tokens(vocab)
-    table = vocab.select("token", "id").unionByName(special)
-    unk = special.filter(F.col("token") == "<|unk|>").first()["id"]
     text = strip_space(F.col("text"))
-    tokens = df.filter(text != "").select(
-        "ord", F.posexplode(pretokens(text)).alias("pos", "token")
-    )
-    hot = broadcast_if_small(
-        table.filter((F.col("id") < hot_rows) | F.col("token").isin(fx.SPECIAL_TOKENS))
-    )
-    first = tokens.join(hot, "token", "left")
-    # Known already: a fresh key per row keeps them out of any one partition.
-    cold_key = F.when(F.col("id").isNull(), F.col("token")).otherwise(
-        F.concat(F.lit("\x00"), F.col("ord").cast("string"))
-    )
-    cold = table.filter(F.col("id") >= hot_rows).select(
-        F.col("token").alias("cold_key"), F.col("id").alias("cold_id")
+    tokens = df.filter(text != "").select("ord", F.posexplode(encoder.pretokens(text)).alias("pos", "token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    table = materialise(encode_pretokens(counts, encoder), "encoded-pretokens")
+    total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot, cold = split_hot(table, total)
+    first = tokens.join(hot.select("token", "ids"), "token").unionByName(
+        tokens.join(hot, "token", "left_anti").join(cold.select("token", "ids"), "token")
     )
-    both = first.withColumn("cold_key", cold_key).join(cold, "cold_key", "left")
-    final = F.coalesce("id", "cold_id", F.lit(unk)).cast("int")
-    gathered = both.groupBy("ord").agg(
-        F.sort_array(F.collect_list(F.struct("pos", final.alias("id")))).alias("ids")
-    )
-    return gathered.select("ord", F.col("ids.id").alias("input_ids"))
+    gathered = first.groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
+    return gathered.select("ord", F.flatten("parts.ids").alias("input_ids"))
+
+
+def decode_docs(encoded: DataFrame, encoder: Encoder) -> DataFrame:
+    """(ord, text) from (ord, input_ids)."""
+    return encoded.select("ord", encoder.decode(F.col("input_ids")).alias("text"))
 
 
 def _limited(df: DataFrame, limit: int | None) -> DataFrame:
@@ -178,16 +250,20 @@ def tokenize_ext(
     )
 
 
+def token_counts(df: DataFrame, encoder: Encoder, max_docs: int | None = None) -> DataFrame:
+    """(ord, length): ids per non-blank document, without bos and eos, not cut."""
+    rows = df if max_docs is None else first_n(df, max_docs)
+    rows = rows.filter(strip_space(F.col("text")) != "")
+    return rows.select("ord", encoder.count(F.col("text")).alias("length"))
+
+
 def token_length_stats(
     df: DataFrame, encoder: Encoder, max_docs: int | None = None
 ) -> DataFrame:
     """Token counts per document without bos/eos and without truncation: one row."""
     from corpusloom.operators.stats import length_counts, quantiles
 
-    rows = df if max_docs is None else first_n(df, max_docs)
-    rows = rows.filter(strip_space(F.col("text")) != "")
-    ids = encoder.encode(F.col("text"))
-    counts = length_counts(rows.select(F.size(ids).alias("length")))
+    counts = length_counts(token_counts(df, encoder, max_docs).select("length"))
     p50, p95, p99 = quantiles(0.5, 0.95, 0.99)
     return counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("docs_counted"),

@@ -9,8 +9,10 @@ from __future__ import annotations
 import re
 
 from corpusloom.functions import fixed_values as fx
+from corpusloom.operators.bpe import byte_alphabet, byte_order
 from corpusloom.operators.language import MICRO
 from corpusloom.operators.perplexity import MIX
+from corpusloom.plans.models import BPE_MERGES
 from corpusloom.plans.registry import NEAR_WIDE, QUERY_SHARD
 
 
@@ -430,13 +432,94 @@ _VOCAB = f"""pieces AS (SELECT ord, {_pretokens(_strip('text'))} AS p FROM docs
   piece_n AS (SELECT token, count(*) AS n FROM (SELECT unnest(p) AS token FROM pieces) GROUP BY 1),
   vocab AS (
   SELECT token, (row_number() OVER (ORDER BY n DESC, token) - 1) AS id, n FROM piece_n
-  ORDER BY n DESC, token LIMIT {fx.BASE_VOCAB_SIZE}),
-  base AS (SELECT count(*) AS size FROM vocab)"""
-_IDS = f"""{_VOCAB},
-  ids AS (
-  SELECT ord, list(coalesce(v.id, (SELECT size + 3 FROM base)) ORDER BY pos) AS ids
-  FROM (SELECT ord, unnest(p) AS token, generate_subscripts(p, 1) AS pos FROM pieces)
-  LEFT JOIN vocab v USING (token) GROUP BY 1)"""
+  ORDER BY n DESC, token LIMIT {fx.BASE_VOCAB_SIZE})"""
+
+
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join(_text(v) for v in values) + "]"
+
+
+# One symbol between brackets that the byte alphabet does not hold, as one string per word.
+_OPEN, _CLOSE = chr(0xE001), chr(0xE002)
+_JOINT = _CLOSE + _OPEN
+
+
+def _bytes(x: str) -> str:
+    """The symbols of a token's bytes, bracketed."""
+    byte = f"('0x' || substr(hex(encode({x})), (2 * i + 1)::INT, 2))::INT + 1"
+    return f"array_to_string(list_transform(range(strlen({x})), lambda i: '{_OPEN}' || names[{byte}] || '{_CLOSE}'), '')"
+
+
+def _joined(x: str) -> str:
+    return f"'{_OPEN}' || replace({x}[2:-2], '{_JOINT}', '') || '{_CLOSE}'"
+
+
+def _pair_rows(words: str, symbols: str, n: str) -> str:
+    """(pair, n) for each place of a pair of neighbours in some words."""
+    return f"""SELECT '{_OPEN}' || p[1] || '{_JOINT}' || p[2] || '{_CLOSE}' AS pair, n FROM (
+      SELECT unnest(list_zip(y[:-2], y[2:])) AS p, n FROM (
+        SELECT string_split({symbols}[2:-2], '{_JOINT}') AS y, {n} AS n FROM {words}))"""
+
+
+# One merge per step: the most frequent pair, ties by name, that spells no known symbol. Rows of kind w are
+# words, p pairs with their counts, m the merges so far, k the symbols they made. A step changes only the
+# words that hold the pair and the counts of their pairs.
+_TRAINED = f"""alphabet AS (SELECT {_list([byte_alphabet()[b] for b in range(256)])} AS names),
+  train_n AS (SELECT token, count(*) AS n FROM (SELECT unnest({_pretokens(_strip('text'))}) AS token
+    FROM documents WHERE {_strip('text')} <> '') GROUP BY 1),
+  train_w AS (SELECT token, n, {_bytes('token')} AS s FROM train_n, alphabet),
+  train(kind, name, n, s) USING KEY (kind, name) AS (
+  (SELECT 'w' AS kind, token AS name, n::BIGINT AS n, s FROM train_w
+  UNION ALL SELECT 'p', pair, sum(n)::BIGINT, '' FROM ({_pair_rows('train_w', 's', 'n')}) GROUP BY pair
+  UNION ALL SELECT 'm', '', 0, '' UNION ALL SELECT 'k', '', 0, '')
+  UNION
+  (WITH best AS (
+    SELECT name AS pair, {_joined('name')} AS symbol FROM recurring.train WHERE kind = 'p' AND n > 0
+      AND (SELECT n FROM recurring.train WHERE kind = 'm') < {BPE_MERGES}
+      AND NOT contains((SELECT s FROM recurring.train WHERE kind = 'k'), {_joined('name')})
+    ORDER BY n DESC, string_split(name[2:-2], '{_JOINT}')[1], string_split(name[2:-2], '{_JOINT}')[2] LIMIT 1),
+  touched AS (SELECT name, n, s, replace(s, pair, symbol) AS t FROM recurring.train, best
+    WHERE kind = 'w' AND contains(s, pair)),
+  moved AS (SELECT pair, sum(n)::BIGINT AS n FROM ({_pair_rows('touched', 's', '-n')}
+    UNION ALL {_pair_rows('touched', 't', 'n')}) GROUP BY pair)
+  SELECT 'w' AS kind, name, n, t AS s FROM touched
+  UNION ALL SELECT 'p', pair, (coalesce(old.n, 0) + moved.n)::BIGINT, ''
+    FROM moved LEFT JOIN (SELECT name, n FROM recurring.train WHERE kind = 'p') old ON old.name = pair
+  UNION ALL SELECT 'm', '', n + 1, s || pair || '{_MARK}' FROM recurring.train, best WHERE kind = 'm'
+  UNION ALL SELECT 'k', '', 0, s || symbol FROM recurring.train, best WHERE kind = 'k')),
+  learned_pairs AS (SELECT string_split(rtrim(s, '{_MARK}'), '{_MARK}') AS learned FROM train WHERE kind = 'm'),
+  merges AS (SELECT i - 1 AS rank, string_split(pair[2:-2], '{_JOINT}')[1] AS "left",
+    string_split(pair[2:-2], '{_JOINT}')[2] AS "right"
+    FROM (SELECT unnest(learned) AS pair, generate_subscripts(learned, 1) AS i FROM learned_pairs) WHERE pair <> ''),
+  symbols AS (SELECT unnest({_list([byte_alphabet()[b] for b in byte_order()])}) AS token, unnest(range(256)) AS id
+    UNION ALL SELECT "left" || "right", 256 + rank FROM merges),
+  base AS (SELECT 257 + count(*) AS size FROM merges)"""
+
+
+def _coded(name: str, pieces: str) -> str:
+    """CTEs up to `name`(token, ids) over the tokens of `pieces`(p), merging in rank order."""
+    return f"""{name}_s AS (SELECT token, string_split(list_reduce(list_prepend({_bytes('token')}, learned),
+      lambda w, m: replace(w, m, {_joined('m')}))[2:-2], '{_JOINT}') AS y
+    FROM (SELECT DISTINCT unnest(p) AS token FROM {pieces}), alphabet, learned_pairs),
+  {name} AS (SELECT t.token, list(v.id ORDER BY pos) AS ids
+    FROM (SELECT token, unnest(y) AS symbol, generate_subscripts(y, 1) AS pos FROM {name}_s) t
+    JOIN symbols v ON v.token = t.symbol GROUP BY 1)"""
+
+
+def _flat(name: str, coded: str, pieces: str) -> str:
+    return f"""{name} AS (SELECT ord, flatten(list(c.ids ORDER BY pos)) AS ids
+    FROM (SELECT ord, unnest(p) AS token, generate_subscripts(p, 1) AS pos FROM {pieces})
+    JOIN {coded} c USING (token) GROUP BY 1)"""
+
+
+_PIECES = f"pieces AS (SELECT ord, {_pretokens(_strip('text'))} AS p FROM docs WHERE {_strip('text')} <> '')"
+_IDS = f"""{_TRAINED}, {_PIECES}, {_coded('coded', 'pieces')}, {_flat('ids', 'coded', 'pieces')}"""
+# Tokens of the whole texts, white space at the ends included.
+_LENS = f"""{_TRAINED}, whole AS (SELECT ord, text, {_pretokens('text')} AS p FROM docs),
+  {_coded('coded', 'whole')},
+  token_lens AS (SELECT ord, any_value(text) AS text, coalesce(sum(len(c.ids)), 0)::BIGINT AS v
+    FROM (SELECT ord, text, unnest(CASE WHEN len(p) = 0 THEN [NULL] ELSE p END) AS token FROM whole)
+    LEFT JOIN coded c USING (token) GROUP BY ord)"""
 _EXT = f"""{_IDS},
   full_ext AS (
   SELECT ord, [(SELECT size FROM base)] || ids || [(SELECT size + 1 FROM base)] AS ids FROM ids),
@@ -445,6 +528,32 @@ _EXT = f"""{_IDS},
     THEN ids[:{fx.BLOCK_SIZE - 1}] || [(SELECT size + 1 FROM base)] ELSE ids END AS ids FROM full_ext)"""
 
 
+def _special_ids(name: str, literals: dict[str, str]) -> str:
+    """CTEs up to `name`(ord, ids) over `literal`(ord, text): texts cut at the given special tokens."""
+    cut, mark = "text", chr(0xE003)
+    for token in literals:
+        cut = f"replace({cut}, '{token}', '{mark}{token}{mark}')"
+    names = _list(list(literals))
+    special = " ".join(f"WHEN '{t}' THEN [{i}]" for t, i in literals.items())
+    return f"""{name}_p AS (SELECT ord, flatten(list_transform(string_split({cut}, '{mark}'), lambda x:
+      CASE WHEN list_contains({names}, x) THEN [x] ELSE {_pretokens('x')} END)) AS p FROM literal),
+  {_coded(f'{name}_plain', f'{name}_p')},
+  {name}_c AS (SELECT token, CASE token {special} ELSE ids END AS ids FROM {name}_plain, base),
+  {_flat(name, f'{name}_c', f'{name}_p')}"""
+
+
+def _special_literals() -> str:
+    text = "text"
+    for found, literal in zip([", ", ". ", " a", "\n", "e "], [fx.END_OF_TEXT, *fx.SPECIAL_TOKENS]):
+        text = f"replace({text}, {_text(found)}, {_text(found[0] + literal + found[1:])})"
+    text += f" || '{''.join(fx.SPECIAL_TOKENS)}{fx.END_OF_TEXT}'"
+    base = _special_ids("base_ids", {fx.END_OF_TEXT: "size - 1"})
+    extended = _special_ids("ext_ids", {t: f"size + {i}" for i, t in enumerate(fx.SPECIAL_TOKENS)})
+    return f"""WITH RECURSIVE {_DOCS}, {_TRAINED}, literal AS (SELECT ord, {text} AS text FROM docs), {base}, {extended}
+  SELECT ord, array_to_string(b.ids, ' ') AS base_ids, array_to_string(e.ids, ' ') AS ids, true AS same_text
+  FROM base_ids b JOIN ext_ids e USING (ord)"""
+
+
 def _place(source: str) -> str:
     """Recursive CTEs giving placed(ord, block_id, offset) over (ord, n)."""
     return f"""queue AS (
@@ -504,7 +613,7 @@ _STAGES = f"""WITH RECURSIVE {_NOISY},
   raw AS (SELECT ord, text FROM noisy QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY ord) = 1),
   {_verdicts('raw')},
   docs AS (SELECT ord, text FROM verdicts WHERE verdict = 'KEPT'),
-  cut AS (SELECT ord, least(len({_pretokens('text')}) + 2, {fx.BLOCK_SIZE})::BIGINT AS n FROM docs),
+  {_IDS}, cut AS (SELECT ord, least(len(ids) + 2, {fx.BLOCK_SIZE})::BIGINT AS n FROM ids),
   {_place('cut')}, {_splits('(SELECT max(block_id) + 1 FROM placed)')}"""
 
 
@@ -627,24 +736,26 @@ def all_sql() -> dict[str, str]:
         # tokens
         "pretoken_counts": f"WITH {_DOCS}, {_VOCAB} SELECT token, n FROM piece_n",
         "vocab": f"WITH {_DOCS}, {_VOCAB} SELECT token, id, n FROM vocab",
-        "special_tokens": f"WITH {_DOCS}, {_VOCAB} SELECT token, size + pos AS id FROM base, (SELECT unnest("
-        f"{fx.SPECIAL_TOKENS!r}) AS token, unnest(range(4)) AS pos)",
-        "encode_docs": f"WITH {_DOCS}, {_IDS} SELECT ord, array_to_string(ids, ' ') AS ids FROM ids",
-        "encode_docs_by_join": f"WITH {_DOCS}, {_IDS} SELECT ord, array_to_string(ids, ' ') AS ids FROM ids",
-        "tokenize_plain": f"WITH {_DOCS}, {_IDS} SELECT ord, array_to_string(ids[:{fx.BLOCK_SIZE}], ' ') AS ids, "
+        "special_tokens": f"WITH RECURSIVE {_TRAINED} SELECT token, size + pos AS id FROM base, (SELECT unnest("
+        f"{[fx.END_OF_TEXT, *fx.SPECIAL_TOKENS]!r}) AS token, unnest(range(-1, 4)) AS pos)",
+        "bpe_merges": f'WITH RECURSIVE {_TRAINED} SELECT rank, "left", "right" FROM merges',
+        "bpe_vocab": f"WITH RECURSIVE {_TRAINED} SELECT id, token FROM symbols "
+        f"UNION ALL SELECT size - 1, '{fx.END_OF_TEXT}' FROM base",
+        "bpe_encode": f"WITH RECURSIVE {_DOCS}, {_TRAINED}, {_PIECES}, {_coded('coded', 'pieces')} "
+        "SELECT token, n, array_to_string(ids, ' ') AS ids FROM coded JOIN train_n USING (token)",
+        "special_literals": _special_literals(),
+        "encode_docs": f"WITH RECURSIVE {_DOCS}, {_IDS} SELECT ord, array_to_string(ids, ' ') AS ids FROM ids",
+        "encode_docs_by_join": f"WITH RECURSIVE {_DOCS}, {_IDS} SELECT ord, array_to_string(ids, ' ') AS ids FROM ids",
+        "tokenize_plain": f"WITH RECURSIVE {_DOCS}, {_IDS} SELECT ord, array_to_string(ids[:{fx.BLOCK_SIZE}], ' ') AS ids, "
         f"least(len(ids), {fx.BLOCK_SIZE})::BIGINT AS length FROM ids",
-        "tokenize_ext": f"WITH {_DOCS}, {_EXT} SELECT ord, array_to_string(ids, ' ') AS ids, "
+        "tokenize_ext": f"WITH RECURSIVE {_DOCS}, {_EXT} SELECT ord, array_to_string(ids, ' ') AS ids, "
         "len(ids)::BIGINT AS length FROM ext",
-        "decode_roundtrip": f"WITH {_DOCS}, {_VOCAB}, known AS (SELECT ord, bool_or(v.id IS NULL) AS has_unknown, "
-        "string_agg(coalesce(v.token, '<|unk|>'), '' ORDER BY pos) AS back FROM (SELECT ord, unnest(p) AS token, "
-        "generate_subscripts(p, 1) AS pos FROM pieces) LEFT JOIN vocab v USING (token) GROUP BY 1) "
-        f"SELECT ord, coalesce(has_unknown, false) AS has_unknown, coalesce(back, '') = {_strip('text')} AS same_text "
-        "FROM docs LEFT JOIN known USING (ord)",
-        "token_length_stats": f"WITH {_DOCS}, lens AS (SELECT len({_pretokens('text')}) AS v FROM docs "
-        f"WHERE {_strip('text')} <> '') SELECT count(*) AS docs_counted, round(avg(v), 6) AS avg_tokens, "
+        "decode_roundtrip": f"{docs}SELECT ord, false AS has_unknown, true AS same_text, "
+        f"strlen({_strip('text')}) AS n_bytes FROM docs",
+        "token_length_stats": f"WITH RECURSIVE {_DOCS}, {_LENS} SELECT count(*) AS docs_counted, round(avg(v), 6) AS avg_tokens, "
         "round(quantile_cont(v, 0.5), 6) AS median_tokens, round(quantile_cont(v, 0.95), 6) AS p95_tokens, "
-        "round(quantile_cont(v, 0.99), 6) AS p99_tokens, max(v)::BIGINT AS max_tokens FROM lens",
-        "token_histogram": _histogram(f"SELECT len({_pretokens('text')}) AS v FROM documents", 50),
+        f"round(quantile_cont(v, 0.99), 6) AS p99_tokens, max(v)::BIGINT AS max_tokens FROM token_lens WHERE {_strip('text')} <> ''",
+        "token_histogram": _histogram("SELECT v FROM token_lens", 50, f"{_DOCS}, {_LENS}, "),
         # packing and sharding
         "pack_assign": f'{pack} SELECT ord, block_id, "offset" FROM placed',
         "pack_fixed": f"{pack} SELECT block_id, array_to_string(ids, ' ') || {_PAD_TEXT} AS ids, "
@@ -667,9 +778,9 @@ def all_sql() -> dict[str, str]:
         "UNION ALL SELECT 'dedup', count(*) FROM raw UNION ALL SELECT 'clean', count(*) FROM docs "
         "UNION ALL SELECT 'tokenized', count(*) FROM cut "
         f"UNION ALL SELECT 'packed', {blocks} UNION ALL SELECT split, blocks FROM splits WHERE blocks > 0",
-        "run_meta": f"{_STAGES}, {_SUMMARY}, {_VOCAB}, pairs AS ("
+        "run_meta": f"{_STAGES}, {_SUMMARY}, pairs AS ("
         "SELECT 'run' AS section, 'pipeline_version' AS name, '1.0' AS value "
-        "UNION ALL SELECT 'tokenizer', 'name', 'corpus_vocab_extended' "
+        "UNION ALL SELECT 'tokenizer', 'name', 'corpus_bpe_extended' "
         "UNION ALL SELECT 'tokenizer', 'vocab_size', (size + 4)::VARCHAR FROM base "
         f"UNION ALL SELECT 'data', 'total_blocks', {blocks}::VARCHAR "
         f"UNION ALL SELECT 'data', 'block_size', '{fx.BLOCK_SIZE}' "

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fx
-from corpusloom.operators import clean, dedup, packing, quality, sharding, stats, tokens
+from corpusloom.operators import bpe, clean, dedup, packing, quality, sharding, stats, tokens
 from corpusloom.operators.language import LanguageModel, fit_language
 from corpusloom.operators.perplexity import BigramModel
 from corpusloom.operators.toxicity import ToxicityModel, fit_toxicity
@@ -55,12 +55,12 @@ def build_stages(
     save,
     block_size: int = fx.BLOCK_SIZE,
     max_seq_len: int = fx.BLOCK_SIZE,
-    vocab_size: int = fx.BASE_VOCAB_SIZE,
+    merges: int = fx.BASE_MERGES,
 ) -> Stages:
     """Compose the stages; `save(df, name)` writes a stage and reads it back.
 
     `raw` is (ord, text, status), or (ord, text) for a table that needs no parsing.
-    Without an encoder in `models`, the vocabulary is fitted on the clean corpus.
+    Without an encoder in `models`, byte-pair merges are trained on the clean corpus.
     """
     if max_seq_len > block_size:
         raise ValueError("max_seq_len must not exceed block_size")
@@ -68,9 +68,11 @@ def build_stages(
     deduped = save(dedup.dedup_parsed(raw) if parsed else dedup.dedup_exact(raw), "dedup")
     verdicts = save(clean.clean_verdicts(deduped, models.language), "verdicts")
     cleaned = clean.kept_docs(verdicts)
-    encoder = models.encoder or tokens.Encoder.load(
-        tokens.fit_vocab(tokens.pretoken_counts(cleaned), vocab_size)
-    )
+    encoder = models.encoder
+    if encoder is None:
+        counts = save(tokens.pretoken_counts(cleaned), "pretokens")
+        learned = save(bpe.train_bpe(counts, merges)[0], "merges")
+        encoder = tokens.Encoder.extended(bpe.load_merges(learned))
     tokenized = save(tokens.tokenize_ext(cleaned, encoder, max_seq_len), "tokenized")
     placed = save(packing.assign_blocks(tokenized, block_size), "placed")
     packed = save(packing.pack_fixed(tokenized, placed, encoder.pad, block_size), "packed")
@@ -101,6 +103,7 @@ def run_pipeline(
     models: Models,
     block_size: int = fx.BLOCK_SIZE,
     shard_size: int = fx.SHARD_SIZE,
+    merges: int = fx.BASE_MERGES,
 ) -> Stages:
     """Read JSON Lines, write all stages, shards, reports and metadata below `out`."""
 
@@ -120,7 +123,7 @@ def run_pipeline(
     )
     report(stats.summarize_exclusive(lines, models.language, SAMPLE_LINES), "raw_category_pct")
 
-    stages = build_stages(objects_only(lines), models, save, block_size, block_size)
+    stages = build_stages(objects_only(lines), models, save, block_size, block_size, merges)
     report(clean.cleaning_summary(stages.verdicts), "cleaning_summary")
     report(clean.cleaning_flow(stages.verdicts), "cleaning_flow")
     report(

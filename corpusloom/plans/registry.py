@@ -23,8 +23,7 @@ from corpusloom.sources import jsonl, tables
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-# Merges trained and block sizes used by the registered queries.
-BPE_MERGES = 40
+# Block sizes used by the registered queries.
 QUERY_SHARD = 100
 NEAR_WIDE = 8
 
@@ -409,8 +408,27 @@ def vocab(spark, sf):
 
 @query
 def special_tokens(spark, sf):
-    special = tokens.special_tokens(models.vocabulary(spark, sf))
-    return special.withColumn("id", F.col("id").cast("bigint"))
+    """Those of both encoders."""
+    base = tokens.special_tokens(spark, models.base_encoder(spark, sf))
+    return base.unionByName(tokens.special_tokens(spark, models.encoder(spark, sf)))
+
+
+@query
+def bpe_merges(spark, sf):
+    return models.merges(spark, sf)
+
+
+@query
+def bpe_vocab(spark, sf):
+    return bpe.bpe_vocab(models.merges(spark, sf))
+
+
+@query
+def bpe_encode(spark, sf):
+    """Every distinct pre-token of the corpus with its ids."""
+    counts = tokens.pretoken_counts(tables.documents(spark, sf))
+    encoded = tokens.encode_pretokens(counts, models.base_encoder(spark, sf))
+    return encoded.select("token", "n", as_text(F.col("ids")).alias("ids"))
 
 
 @query
@@ -421,12 +439,26 @@ def encode_docs(spark, sf):
 
 @query
 def encode_docs_by_join(spark, sf):
-    """The same ids by joins, for a vocabulary too large to send to the tasks."""
-    known = materialise(models.vocabulary(spark, sf), "vocab")
-    encoded = tokens.encode_docs_by_join(tables.documents(spark, sf), known, hot_rows=1000)
+    """The same ids; each distinct pre-token is merged once and joined back."""
+    encoded = tokens.encode_docs_by_join(tables.documents(spark, sf), models.encoder(spark, sf))
     return encoded.select("ord", as_text(F.col("input_ids")).alias("ids"))
 
 
+@query
+def special_literals(spark, sf):
+    """Texts that hold all five special tokens as literals, by both encoders, and what they decode to."""
+    docs = tables.special_docs(spark, sf)
+    base, extended = models.base_encoder(spark, sf), models.encoder(spark, sf)
+    ids = docs.select(
+        "ord", "text", base.encode(F.col("text")).alias("base_ids"), extended.encode(F.col("text")).alias("ids")
+    )
+    return ids.select(
+        "ord", as_text(F.col("base_ids")).alias("base_ids"), as_text(F.col("ids")).alias("ids"),
+        ((base.decode(F.col("base_ids")) == F.col("text")) & (extended.decode(F.col("ids")) == F.col("text")))
+        .alias("same_text"),
+    )
+
+
 def _tokenized(spark, sf):
     return tokens.tokenize_ext(tables.documents(spark, sf), models.encoder(spark, sf))
 
@@ -449,12 +481,14 @@ def tokenize_ext(spark, sf):
 
 @query
 def decode_roundtrip(spark, sf):
+    """Every document comes back from its ids, byte for byte."""
     enc = models.encoder(spark, sf)
     docs = tables.documents(spark, sf).select("ord", tx.strip_space(F.col("text")).alias("text"))
-    coded = docs.withColumn("ids", enc.encode(F.col("text")))
-    return coded.select(
-        "ord", F.array_contains("ids", enc.unk).alias("has_unknown"),
-        (enc.decode(F.col("ids")) == F.col("text")).alias("same_text"),
+    back = docs.withColumn("ids", enc.encode(F.col("text"))).withColumn("back", enc.decode(F.col("ids")))
+    return back.select(
+        "ord", F.array_contains("ids", enc.special["<|unk|>"]).alias("has_unknown"),
+        (F.col("back") == F.col("text")).alias("same_text"),
+        F.octet_length("back").cast("bigint").alias("n_bytes"),
     )
 
 
@@ -466,17 +500,11 @@ def token_length_stats(spark, sf):
 
 @query
 def token_histogram(spark, sf):
-    ids = models.encoder(spark, sf).encode(F.col("text"))
-    lengths = tables.documents(spark, sf).select(F.size(ids).alias("length"))
+    ids = models.encoder(spark, sf).count(F.col("text"))
+    lengths = tables.documents(spark, sf).select(ids.alias("length"))
     return rounded(stats.histogram(lengths, 50))
 
 
-@query
-def bpe_merges(spark, sf):
-    counts = tokens.pretoken_counts(tables.documents(spark, sf))
-    return bpe.train_bpe(counts, BPE_MERGES)[0]
-
-
 # --- packing and sharding ----------------------------------------------------
 
 
@@ -540,7 +568,7 @@ def shard_manifest(spark, sf):
 def _stages(spark, sf):
     raw = tables.noisy_docs(spark, sf).select("ord", "text")
     fitted = pipeline.Models(
-        models.language_model(spark, sf), models.toxicity_model(spark, sf)
+        models.language_model(spark, sf), models.toxicity_model(spark, sf), encoder=models.encoder(spark, sf)
     )
     return pipeline.build_stages(raw, fitted, materialise)
 

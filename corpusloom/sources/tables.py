@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions import fixed_values as fx
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +23,14 @@ def file_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def version(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """Number, bytes and latest change of the files of some tables: another one means other rows."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in names]
+    files = spark.read.format("binaryFile").load(paths)
+    changed = F.max(F.col("modificationTime").cast("double"))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), changed).first())
+
+
 def spread(df: DataFrame, sf_dir: str, *names: str) -> DataFrame:
     """Use every core on an input of a few small files; any larger one is read as it is split.
 
@@ -98,6 +108,14 @@ def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(every, sf_dir, "documents", "pages")
 
 
+def special_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ord, text): every document with the five special tokens put into its text as literals."""
+    text = F.col("text")
+    for found, literal in zip([", ", ". ", " a", "\n", "e "], [fx.END_OF_TEXT, *fx.SPECIAL_TOKENS], strict=True):
+        text = F.replace(text, F.lit(found), F.lit(found[0] + literal + found[1:]))
+    return documents(spark, sf_dir).select("ord", F.concat(text, F.lit("".join(fx.SPECIAL_TOKENS) + fx.END_OF_TEXT)).alias("text"))
+
+
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, value): every document as a JSON line, every tenth one damaged.
 

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import fixed_values as fixed
 from corpusloom.operators import (
     bpe, clean, dedup, language, lookup, packing, perplexity, sample, sharding, stats, toxicity,
 )
@@ -214,6 +216,11 @@ def naive_bpe(counts, merges):
         for w, s in words.items():
             for p in zip(s, s[1:]):
                 pairs[p] = pairs.get(p, 0) + counts[w]
+        if not pairs:
+            break
+        # A pair that spells a known symbol is never learned.
+        known = {a + b for a, b in learned} | set(names.values())
+        pairs = {p: n for p, n in pairs.items() if p[0] + p[1] not in known}
         if not pairs:
             break
         best = min(pairs, key=lambda p: (-pairs[p], p[0].encode(), p[1].encode()))
@@ -241,6 +248,103 @@ def test_bpe_equals_one_merge_at_a_time(spark):
         assert r.symbols.count(bpe.OPEN) >= 1
 
 
+@pytest.mark.parametrize("how", [{}, {"tracked": 4, "guesses": 3, "rewrite_every": 5}, {"guesses": 64}])
+def test_bpe_on_random_words(spark, how):
+    rng = random.Random(11)
+    # Few letters: counts tie, pairs overlap, and different pairs spell the same symbol.
+    words = {"".join(rng.choice("aab é") for _ in range(rng.randrange(1, 9))) for _ in range(120)}
+    counts = {w: rng.randrange(1, 6) for w in sorted(words)}
+    df = spark.createDataFrame(list(counts.items()), "token string, n bigint").repartition(5)
+    table, encoded = bpe.train_bpe(df, 70, **how)
+    learned = [(r["left"], r["right"]) for r in table.orderBy("rank").collect()]
+    assert learned == naive_bpe(counts, 70) and len(learned) > 40
+    ranks = {p: i for i, p in enumerate(learned)}
+    names = bpe.byte_alphabet()
+    for r in encoded.collect():
+        assert bpe.unbracketed(r.symbols) == bpe.merge_symbols([names[b] for b in r.word.encode()], ranks)
+
+
+def test_bpe_without_words_or_pairs(spark):
+    none = spark.createDataFrame([], "token string, n bigint")
+    assert bpe.train_bpe(none, 5)[0].count() == 0
+    single = spark.createDataFrame([("a", 3), ("", 9)], "token string, n bigint")
+    assert bpe.train_bpe(single, 5)[0].count() == 0
+
+
+def test_merging_long_tokens_is_fast():
+    import time
+
+    ranks = {("a", "a"): 0, ("aa", "aa"): 1, ("aa", "a"): 2}
+    start = time.perf_counter()
+    merged = bpe.merge_symbols(["a"] * 300_001, ranks)
+    assert merged == ["aaaa"] * 75_000 + ["a"] and time.perf_counter() - start < 20
+
+
+ODD_TEXTS = [
+    None, "", " ", "the then théâtre", "a\x00b\x01", "\U0001f600\U0001f601 été naïve", "x" * 5000, "\r\n\t tail  ",
+    "<|bos|> in <|eos|><|pad|>", "<|endoftext|>text<|unk|>", "<|bos", "日本語のテキスト", "ﬁne é e\u0301", " ",
+]
+
+
+@pytest.fixture(scope="module")
+def small_merges(spark):
+    counts = spark.createDataFrame(
+        [(" the", 50), (" then", 20), ("aaaa", 9), (" thé", 7), ("xx", 4), ("日本", 9), ("text", 30)], "token string, n bigint"
+    )
+    return bpe.load_merges(bpe.train_bpe(counts, 25)[0])
+
+
+@pytest.mark.parametrize("kind", ["base", "extended"])
+def test_every_text_comes_back(spark, small_merges, kind):
+    encoder = getattr(tk.Encoder, kind)(small_merges)
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "ord long, text string").repartition(3)
+    coded = df.withColumn("ids", encoder.encode(F.col("text"))).withColumn("n", encoder.count(F.col("text")))
+    rows = coded.withColumn("back", encoder.decode(F.col("ids"))).collect()
+    assert len(rows) == len(ODD_TEXTS)
+    ranks = {p: i for i, p in enumerate(small_merges)}
+    names, order = bpe.byte_alphabet(), bpe.byte_order()
+    ids = {names[b]: i for i, b in enumerate(order)} | {a + b: 256 + i for i, (a, b) in enumerate(small_merges)}
+    for r in rows:
+        assert r.back == r.text and (r.n is None) == (r.text is None)
+        if r.text is None:
+            assert r.ids is None
+            continue
+        assert r.n == len(r.ids)
+        want, rest = [], r.text
+        cut = re.compile("(" + "|".join(map(re.escape, encoder.special)) + ")")
+        import regex
+        for part in cut.split(rest):
+            if part in encoder.special:
+                want.append(encoder.special[part])
+                continue
+            for token in regex.findall(fixed.PRETOKEN, part):
+                want += [ids[s] for s in bpe.merge_symbols([names[b] for b in token.encode()], ranks)]
+        assert r.ids == want
+
+
+def test_joined_encoding_and_cut_characters(spark, small_merges):
+    encoder = tk.Encoder.extended(small_merges)
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "ord long, text string")
+    one = sorted(map(tuple, tk.encode_docs(df, encoder).collect()))
+    assert one == sorted(map(tuple, tk.encode_docs_by_join(df, encoder).collect())) and len(one) > 8
+    decoded = tk.decode_docs(tk.encode_docs(df, encoder), encoder).collect()
+    assert {r.ord: r.text for r in decoded}[5] == ODD_TEXTS[5]
+    # The first two bytes of an emoji alone are no character.
+    first = df.filter("ord = 5").select(encoder.decode(F.slice(encoder.encode(F.col("text")), 1, 2)).alias("t")).first()
+    assert first.t and set(first.t) == {"\ufffd"}
+
+
+def test_the_two_encoders_differ_in_special_tokens_only(spark, small_merges):
+    base, extended = tk.Encoder.base(small_merges), tk.Encoder.extended(small_merges)
+    n = 256 + len(small_merges)
+    assert base.special == {"<|endoftext|>": n} and base.vocab_size == n + 1
+    assert list(extended.special.values()) == [n + 1, n + 2, n + 3, n + 4]
+    df = spark.createDataFrame([("<|endoftext|>",), ("<|bos|>",)], "t string")
+    rows = df.select(base.encode(F.col("t")).alias("b"), extended.encode(F.col("t")).alias("e")).collect()
+    assert rows[0].b == [n] and len(rows[0].e) > 1 and max(rows[0].e) < n
+    assert len(rows[1].b) > 1 and rows[1].e == [n + 1]
+
+
 def test_pretokens_with_special_tokens(spark):
     tiktoken = pytest.importorskip("tiktoken")
     from corpusloom.functions import fixed_values as fx
