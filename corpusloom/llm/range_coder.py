@@ -202,6 +202,9 @@ class FileWriter:
         stream.write(MAGIC)
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """One document; ids from 0 to 65535, any other raises ValueError."""
+        if len(ids) and (int(ids.max()) >= 1 << 16 or int(ids.min()) < 0):
+            raise ValueError("token files hold 16-bit ids")
         self.docs.append((doc_id, len(ids)))
         self.n_ids += len(ids)
         for start in range(0, len(ids), BLOCK * GROUP):

@@ -9,6 +9,8 @@ shares its anchor but not all its words, a factor ends inside it; there, and onl
 windows are compared. The windows inside factors are the duplicate spans.
 
 Words are hashed by prefix sums over the bytes of a text, so any run of words costs one subtraction.
+Sums modulo 2 ** 64 are weak for regular runs of a thousand bytes, so a word of more than LONG_WORD bytes
+goes in as one XXH64 value. Windows are compared by this hash and by the independent one of their anchor.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from corpusloom.llm.common import materialise
 
 #: Words of a window, and of the grams whose smallest hash is the anchor.
 WINDOW, GRAM = 35, 8
+#: Bytes of a word from which on it is hashed as a whole.
+LONG_WORD = 32
 _U = np.uint64
 
 
@@ -59,6 +64,10 @@ class RunHashes:
         self.starts = np.concatenate([[0], gaps + 1]).astype(np.int64)
         self.ends = np.append(gaps, len(data)).astype(np.int64)
         self.values = _fixed()[0][data]
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist() if words else ():
+            a, b = int(self.starts[i]), int(self.ends[i])
+            self.values[a:b] = 0
+            self.values[a] = xxhash.xxh64_intdigest(joined[a:b], 42)
         size = max(1 << 14, 1 << (len(data) + 1).bit_length())
         self.sums = {}
         for lane in lanes:

@@ -2,6 +2,8 @@
 
 A text is cut only where the tokenizer's own pattern always cuts; each distinct chunk is encoded
 once per worker and remembered, up to a bounded number of chunks. Equal to encoding the whole text.
+Special tokens that stand in a text as literals get their own ids, as the library has it, or are
+ordinary text where the caller asks for that.
 """
 
 from __future__ import annotations
@@ -39,12 +41,15 @@ def _byte_letters() -> dict[int, str]:
 class TokenIds:
     """ids(text): the little-endian ids of a text as bytes, `dtype` wide."""
 
-    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS):
+    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS, literal_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
+        # Chunks are ordinary text: special tokens are looked for in whole texts, before any lower-casing.
         self._tok.encode_special_tokens = True
+        added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        self._special = () if literal_specials else tuple(added)
         self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
         self._code, self._tokenize = self.dtype.char, self._tok.model.tokenize
         self._letters = str.maketrans(_byte_letters())
@@ -62,6 +67,11 @@ class TokenIds:
         return np.array(self._tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def ids(self, text: str) -> bytes:
+        if any(token in text for token in self._special):
+            self._tok.encode_special_tokens = False
+            ids = self._whole(text)
+            self._tok.encode_special_tokens = True
+            return ids
         if _ODD.search(text):
             return self._whole(text)
         if not self._spaced:
@@ -95,9 +105,9 @@ class _Memo(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer(path: str, memo_chunks: int = MEMO_CHUNKS) -> TokenIds:
+def tokenizer(path: str, memo_chunks: int = MEMO_CHUNKS, literal_specials: bool = False) -> TokenIds:
     """One per worker and file, with what it remembers."""
-    return TokenIds(path, memo_chunks)
+    return TokenIds(path, memo_chunks, literal_specials)
 
 
 def crc_of(ids: np.ndarray, before: int = 0) -> int:

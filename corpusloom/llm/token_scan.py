@@ -26,12 +26,15 @@ def write_flat_files(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     """One flat file of 16-bit ids per task; (path, n_bytes, nth, doc_id) for every document.
 
     The file itself has no index: nth (from 0) only tells which document stands where. Null texts
-    are empty. The end id must not occur inside a document.
+    are empty. Special tokens in a text are
+    ordinary text, as the end id must not occur inside a document.
     """
     folder = shared_folder(docs.sparkSession, "flat-tokens")
 
     def write(batches):
-        tok, stream, ids_of, n_bytes = tokenizer(tokenizer_path), None, [], 0
+        tok, stream, ids_of, n_bytes = tokenizer(tokenizer_path, literal_specials=True), None, [], 0
+        if tok.dtype.itemsize > 2:
+            raise ValueError("flat files hold 16-bit ids")
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 if stream is None:

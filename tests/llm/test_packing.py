@@ -72,10 +72,22 @@ ODD = [
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_chunked_ids_equal_whole_ids(name):
     path = public_tokenizers.path(name)
-    own, tok = TokenIds(path), Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    for text in [*ODD, "".join(ODD), " ".join(ODD)]:
-        assert own.array(text).tolist() == tok.encode(text, add_special_tokens=False).ids, text
+    tok = Tokenizer.from_file(path)
+    special = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|> hello", "a<|endoftext|>b", "<|ENDOFTEXT|> x", "x <|endoftext|>\n"]
+    for literal in (False, True):
+        own, tok.encode_special_tokens = TokenIds(path, literal_specials=literal), literal
+        for text in [*ODD, *special, "".join(ODD), " ".join(ODD + special)]:
+            assert own.array(text).tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packed_ids_are_the_librarys(make_docs):
+    texts = ["<|endoftext|> hello", "plain words", "a <|startoftext|>b", None]
+    rows = packing.pack_documents(make_docs(list(enumerate(texts))), WORDS).collect()
+    tok = Tokenizer.from_file(WORDS)
+    want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {
+        i: (len(ids), zlib.crc32(np.array(ids, "<u4"))) for i, ids in want.items()
+    }
 
 
 @settings(max_examples=200, deadline=None)
@@ -93,6 +105,5 @@ _TOKS = {}
 def _loaded(path):
     if path not in _TOKS:
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
         _TOKS[path] = TokenIds(path), tok
     return _TOKS[path]

@@ -55,3 +55,23 @@ def test_columns_are_kept(make_docs):
 
 def test_empty(make_docs):
     assert fast(make_docs([])) == []
+
+
+def _thue_morse(order, a="a", b="b"):
+    word, other = a, b
+    for _ in range(order):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_regular_words_and_runs_do_not_collide(make_docs):
+    words = [f"w{i}" for i in range(34)]
+    long = _thue_morse(10)
+    # One word of 1,024 letters differs; so do words of 32, and runs of one-letter words.
+    pairs = [(i, " ".join([*words[:20], long[i], *words[20:]])) for i in range(2)]
+    pairs += [(10 + i, " ".join([*words[:9], w, *words[9:]])) for i, w in enumerate(_thue_morse(5))]
+    pairs += [(20 + i, " ".join(t)) for i, t in enumerate(_thue_morse(6))]
+    blocks = _thue_morse(5, "a" * 31, "b" * 31)
+    pairs += [(30 + i, " ".join(b[k : k + 31] for k in range(0, len(b), 31)) + " x y z") for i, b in enumerate(blocks)]
+    assert fast(make_docs(pairs)) == slow(pairs)
+    assert fast(make_docs(pairs + [(40, pairs[0][1])])) == slow(pairs + [(40, pairs[0][1])])

@@ -55,6 +55,21 @@ def test_files_hold_documents_and_find_damage(tmp_path, monkeypatch):
         read()
 
 
+def test_ids_beyond_16_bits_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        _write([(1, [65536])], str(tmp_path / "a.ids"))
+
+
+def test_files_hold_the_librarys_ids(make_docs):
+    texts = ["<|endoftext|> hello", "plain words", "a<|endoftext|>b", None]
+    files = range_coder.write_token_files(make_docs(list(enumerate(texts))), BYTES, parts=2)
+    tok = Tokenizer.from_file(BYTES)
+    want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in range_coder.read_token_files(files).collect()} == {
+        i: (len(ids), zlib.crc32(np.array(ids, "<u4"))) for i, ids in want.items()
+    }
+
+
 def test_written_and_read_by_spark(make_docs, odd_pairs):
     files = range_coder.write_token_files(make_docs(odd_pairs), BYTES, parts=3)
     rows = [tuple(r) for r in range_coder.read_token_files(files).collect()]
