@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import strip_space
-from corpusloom.session import materialise
+from corpusloom.session import broadcast_if_small, materialise
 
 STATUSES = ["OK", "EMPTY", "MALFORMED", "BAD_JSON"]
 
@@ -24,15 +26,16 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def with_line_numbers(lines: DataFrame) -> DataFrame:
     """Replace the position parts by one dense BIGINT `ord` in file order.
 
-    `row_id` counts upwards inside one file split; splits are ordered by path and
-    start. One row per split is summed up; only that table, whose size is the
-    number of splits, goes through an ordered window. The lines are written out
-    first so that both passes see the same splits.
+    `row_id` counts upwards inside one file split; splits are ordered by path and start. The lines are
+    counted per split in a first pass; only that table, one row per split, goes through ordered windows,
+    and its offsets meet the lines of a second pass by broadcast. The text itself is neither shuffled nor
+    copied. Both passes read one listing of the files with the same settings, so they see the same splits;
+    a line of a split that was not counted (a file replaced in between) ends the job.
     """
-    staged = materialise(lines, "lines")
-    splits = staged.groupBy("file_path", "block_start").agg(
+    splits = lines.groupBy("file_path", "block_start").agg(
         F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n")
     )
+    splits = materialise(splits, "splits")
     # Two levels: within a file, then over files.
     files = splits.groupBy("file_path").agg(F.sum("n").alias("file_n"))
     before_file = F.sum("file_n").over(Window.orderBy("file_path")) - F.col("file_n")
@@ -42,10 +45,47 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
         "split_offset", F.sum("n").over(within) - F.col("n")
     ).join(files, "file_path")
     offset = F.col("file_offset") + F.col("split_offset") - F.col("first_id")
-    return staged.join(
-        offsets.select("file_path", "block_start", offset.alias("shift")),
-        ["file_path", "block_start"],
-    ).select((F.col("row_id") + F.col("shift")).alias("ord"), "value")
+    shifts = broadcast_if_small(offsets.select("file_path", "block_start", offset.alias("shift")))
+    shift = F.coalesce("shift", F.raise_error(F.lit("the input files changed")).cast("bigint"))
+    return lines.join(shifts, ["file_path", "block_start"], "left").select(
+        (F.col("row_id") + shift).alias("ord"), "value"
+    )
+
+
+def _parsed(line: str | None) -> tuple[str | None, str, list[str] | None]:
+    """Text, status and keys of one line."""
+    try:
+        found = json.loads((line or "").strip())
+    except (ValueError, RecursionError):
+        return None, "BAD_JSON", None
+    if not isinstance(found, dict):
+        return None, "MALFORMED", None
+    keys, text = list(found), found.get("text", "")
+    if not isinstance(text, str):
+        return None, "MALFORMED", keys
+    return text, "OK" if text.strip() else "EMPTY", keys
+
+
+def _clean(text: str | None) -> str | None:
+    """Half of a surrogate pair, which JSON can spell and UTF-8 cannot, becomes a question mark."""
+    return text.encode("utf-8", "replace").decode() if text and not text.isascii() else text
+
+
+def _parse(col: Column) -> Column:
+    @F.arrow_udf("struct<text string, status string, keys array<string>>")
+    def parse(lines: pa.Array) -> pa.Array:
+        rows = [_parsed(line) for line in lines.to_pylist()]
+        texts, statuses, keys = zip(*rows) if rows else ((), (), ())
+        listed = [None if k is None else [_clean(x) for x in k] for k in keys]
+        return pa.StructArray.from_arrays(
+            [
+                pa.array([_clean(t) for t in texts], pa.string()), pa.array(statuses, pa.string()),
+                pa.array(listed, pa.list_(pa.string())),
+            ],
+            ["text", "status", "keys"],
+        )
+
+    return parse(col)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -54,38 +94,12 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     OK: object with a non-blank string text; EMPTY: text missing or blank;
     MALFORMED: valid JSON that is no object, or text that is no string;
     BAD_JSON: blank line or invalid JSON. Repeated keys: the last one counts.
+
+    Each line is parsed once, by Python's own parser: no bound on the length of a line, NaN and
+    infinities are numbers, and nesting may be as deep as that parser goes (thousands of levels).
     """
-    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    line = strip_space(F.col("value"))
-    # The parser stops after the first value. A line is one whole value only if it
-    # is the single element of an array and the single member of an object.
-    row = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    single = member.isNotNull() & F.try_variant_get("_row", "$[1]", "variant").isNull()
-    parsed = (
-        lines.withColumn("_row", row)
-        .withColumn("_doc", F.when(single, F.try_variant_get("_row", "$[0]", "variant")))
-        .withColumn("_text", F.try_variant_get("_doc", "$.text", "variant"))
-    )
-    kind = F.when(F.schema_of_variant("_doc").startswith("OBJECT"), "object")
-    text_kind = F.schema_of_variant("_text")
-    text = (
-        F.when(kind.isNotNull() & F.col("_text").isNull(), F.lit(""))
-        .when(text_kind == "STRING", F.try_variant_get("_doc", "$.text", "string"))
-    )
-    parsed = parsed.withColumn("_object", kind.isNotNull()).withColumn("text", text)
-    status = (
-        F.when(F.col("_doc").isNull(), "BAD_JSON")
-        .when(~F.col("_object") | F.col("text").isNull(), "MALFORMED")
-        .when(strip_space(F.col("text")) == "", "EMPTY")
-        .otherwise("OK")
-    )
-    keys = F.when(
-        F.col("_object"), F.array_distinct(F.json_object_keys(strip_space(F.col("value"))))
-    )
-    return parsed.select(
-        "ord", "value", "text", status.alias("status"), keys.alias("keys")
-    )
+    parsed = lines.select("ord", "value", _parse(F.col("value")).alias("parsed"))
+    return parsed.select("ord", "value", "parsed.text", "parsed.status", "parsed.keys")
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -120,11 +120,12 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, value): every document as a JSON line, every tenth one damaged.
 
     Line endings of a real crawl: bad JSON, blank lines, text of the wrong type,
-    missing text. All of it is derived from the document table.
+    missing text; numbers that are none beside deep nesting. All of it is derived from the document table.
     """
     docs = documents(spark, sf_dir)
     line = F.to_json(F.struct(F.col("ord").alias("doc_id"), "text"))
     kind = F.pmod("ord", F.lit(10))
+    nested = F.concat(F.repeat(F.lit("["), 2000), F.repeat(F.lit("]"), 2000))
     ident = F.col("ord").cast("string")
     value = (
         F.when(kind == 1, F.concat(line, F.lit(",")))
@@ -134,6 +135,7 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 5, F.concat(F.lit('{"text":'), ident, F.lit("}")))
         .when(kind == 6, F.concat(F.lit("["), ident, F.lit("]")))
         .when(kind == 7, F.concat(F.lit('{"doc_id":'), ident, F.lit(',"text":" \\n"}')))
+        .when(kind == 8, F.concat(F.lit('{"score":NaN,"at":['), nested, F.lit("],"), F.substring(line, 2, 1 << 30)))
         .otherwise(line)
     )
     return docs.select("ord", value.alias("value"))

@@ -43,6 +43,38 @@ def test_line_status(spark):
     assert sorted(r.ord for r in kept) == [0, 6, 7, 8, 9, 10, 11, 12, 13, 14]
 
 
+def test_lines_without_limits(spark):
+    """What a line-by-line parser reads: any length, deep nesting, NaN, long numbers, half surrogates."""
+    long = "x" * 30_000_000
+    lines = [
+        ('{"text": "%s"}' % long, "OK", long),
+        ('{"a": %s1%s, "text": "deep"}' % ("[" * 2000, "]" * 2000), "OK", "deep"),
+        ('{"a": NaN, "b": -Infinity, "text": "n"}', "OK", "n"),
+        ("NaN", "MALFORMED", None), ('{"text": NaN}', "MALFORMED", None),
+        ('{"a": %s, "text": "number"}' % ("1" * 4000), "OK", "number"),
+        ('{"text": "half \\ud800"}', "OK", "half ?"), ('{"text": "pair \\ud83d\\ude00"}', "OK", "pair \U0001f600"),
+        ("\u3000{\"text\": \"\u2003\"}\x1f", "EMPTY", "\u2003"), (None, "BAD_JSON", None),
+        ("\ufeff{}", "BAD_JSON", None), ("{'text': 1}", "BAD_JSON", None), ('{"text": true}', "MALFORMED", None),
+    ]
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(lines)], "ord bigint, value string")
+    rows = jsonl.parse_lines(df).select("ord", "status", "text", "keys").orderBy("ord").collect()
+    for r, (_, status, text) in zip(rows, lines, strict=True):
+        assert (r.status, r.text == text) == (status, True), r.ord
+    assert rows[2]["keys"] == ["a", "b", "text"] and rows[3]["keys"] is None
+
+
+def test_line_numbers_move_no_text(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"text": "a"}\n' * 50)
+    (tmp_path / "b.jsonl").write_text('{"text": "b"}\n' * 50)
+    numbered = jsonl.with_line_numbers(jsonl.read_lines(spark, str(tmp_path)))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and "parquet" in plan.lower()
+    assert numbered.count() == 100 and numbered.agg(F.max("ord")).first()[0] == 99
+    text = numbered._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in text.splitlines() if "Exchange" in x and "value" in x]
+    assert not lines
+
+
 def test_line_numbers_follow_the_files(spark, tmp_path):
     lines = [f'{{"text": "line {i}"}}' for i in range(500)]
     (tmp_path / "a.jsonl").write_text("\n".join(lines[:20]) + "\n")
