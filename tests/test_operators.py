@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -480,3 +481,40 @@ def test_models_over_the_cap_score_by_join_like_models_in_memory(spark, monkeypa
 def test_profile_keeps_every_trigram(spark):
     df = spark.createDataFrame([("abcd", "en"), ("wxyz", "fr")], "text string, lang string")
     assert language.fit_profile(df).select("gram").distinct().count() == 8
+
+
+def test_slices_hold_every_trigram_once():
+    rng = random.Random(3)
+    texts = [None, "", "a", "ab", "abc", "x" * 37] + ["".join(rng.choice("abé\U0001f600") for _ in range(rng.randrange(60))) for _ in range(80)]
+    want = [[t[i : i + 3] for i in range(len(t or "") - 2)] for t in texts]
+    for chars in (5, 16, 1000):
+        got = [[] for _ in texts]
+        for codes, rows, ends in language.slices(texts, chars):
+            assert len(codes) == ends[-1] <= chars + 2
+            keys, inside = language.trigrams(codes, ends)
+            of = np.searchsorted(ends, np.arange(len(keys)), "right")
+            for k, r in zip(keys[inside].tolist(), rows[of[inside]].tolist()):
+                got[r].append(language._gram(k))
+        assert [sorted(x) for x in got] == [sorted(x) for x in want]
+
+
+def test_language_model_in_many_parts(spark, sf_dir, monkeypatch):
+    docs = tables.documents(spark, sf_dir)
+    profile = language.fit_profile(docs.select("text", "lang"))
+    whole = language.LanguageModel.load(profile)
+    split = language.LanguageModel.load(profile, part_bytes=20_000)
+    assert len(whole.parts) == 1 and len(split.parts) > 5
+    assert sum(p.n for p in split.parts) == whole.parts[0].n == profile.select("gram").distinct().count()
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "x"), (-4, "\U0001f600 日本語 été"), (-5, "the " * 300_000)], "ord bigint, text string")
+    every = docs.select("ord", "text").union(odd)
+    one, many = (
+        sorted((r.ord, r.s) for r in every.select("ord", m.scores(F.col("text")).alias("s")).collect()) for m in (whole, split)
+    )
+    assert one == many
+    # Against sums by join, where a text is never cut.
+    weights = {(r.lang, r.gram): r.weight for r in profile.collect()}
+    letters = {r.ord: r.t for r in every.select("ord", language.letters_only(F.col("text")).alias("t")).collect()}
+    for ord_, scores in one:
+        grams = [letters[ord_][i : i + 3] for i in range(len(letters[ord_] or "") - 2)]
+        known = [g for g in grams if (whole.langs[0], g) in weights]
+        assert scores == [sum(weights[x, g] for g in known) for x in whole.langs] + [len(known)]
