@@ -74,8 +74,9 @@ def build_stages(
         learned = save(bpe.train_bpe(counts, merges)[0], "merges")
         encoder = tokens.Encoder.extended(bpe.load_merges(learned))
     tokenized = save(tokens.tokenize_ext(cleaned, encoder, max_seq_len), "tokenized")
-    placed = save(packing.assign_blocks(tokenized, block_size), "placed")
-    packed = save(packing.pack_fixed(tokenized, placed, encoder.pad, block_size), "packed")
+    plan = packing.plan_blocks(tokenized, block_size)
+    placed = save(packing.place_docs(plan), "placed")
+    packed = save(packing.pack_fixed(tokenized, plan, encoder.pad), "packed")
     total = sharding.count_blocks(placed)
     sharded = sharding.assign_shards(packed, total)
     return Stages(

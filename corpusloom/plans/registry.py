@@ -25,6 +25,7 @@ _QUERIES: dict[str, Query] = {}
 
 # Block sizes used by the registered queries.
 QUERY_SHARD = 100
+QUERY_BUCKET = 20_000
 NEAR_WIDE = 8
 
 
@@ -508,14 +509,19 @@ def token_histogram(spark, sf):
 # --- packing and sharding ----------------------------------------------------
 
 
-def _placed(spark, sf):
+def _planned(spark, sf):
+    """Small buckets and a low fan-in, so that the tree has several levels."""
     tokenized = materialise(_tokenized(spark, sf), "tokenized")
-    return tokenized, materialise(packing.assign_blocks(tokenized), "placed")
+    return tokenized, packing.plan_blocks(tokenized, bucket_tokens=QUERY_BUCKET, fan_in=3)
+
+
+def _placed(spark, sf):
+    return materialise(packing.place_docs(_planned(spark, sf)[1]), "placed")
 
 
 @query
 def pack_assign(spark, sf):
-    return _placed(spark, sf)[1]
+    return _placed(spark, sf)
 
 
 def _packed_text(df):
@@ -527,26 +533,24 @@ def _packed_text(df):
 
 @query
 def pack_fixed(spark, sf):
-    tokenized, placed = _placed(spark, sf)
-    return _packed_text(packing.pack_fixed(tokenized, placed, models.encoder(spark, sf).pad))
+    return _packed_text(packing.pack_fixed(*_planned(spark, sf), models.encoder(spark, sf).pad))
 
 
 @query
 def pack_variable(spark, sf):
-    tokenized, placed = _placed(spark, sf)
-    return _packed_text(packing.pack_variable(tokenized, placed, models.encoder(spark, sf).pad))
+    return _packed_text(packing.pack_variable(*_planned(spark, sf), models.encoder(spark, sf).pad))
 
 
 @query
 def pack_diagnostics(spark, sf):
-    tokenized, placed = _placed(spark, sf)
-    packed = packing.pack_fixed(tokenized, placed, models.encoder(spark, sf).pad)
+    tokenized, plan = _planned(spark, sf)
+    packed = packing.pack_fixed(tokenized, plan, models.encoder(spark, sf).pad)
     return rounded(packing.diagnose(tokenized, packed))
 
 
 @query
 def shard_assign(spark, sf):
-    placed = _placed(spark, sf)[1]
+    placed = _placed(spark, sf)
     blocks = placed.select("block_id").distinct()
     shards = sharding.assign_shards(blocks, sharding.count_blocks(placed), shard_size=QUERY_SHARD)
     return shards.withColumn("shard", F.col("shard").cast("bigint"))
@@ -554,12 +558,12 @@ def shard_assign(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    return sharding.split_counts(_placed(spark, sf)[1])
+    return sharding.split_counts(_placed(spark, sf))
 
 
 @query
 def shard_manifest(spark, sf):
-    return sharding.shard_manifest(sharding.split_counts(_placed(spark, sf)[1]), QUERY_SHARD)
+    return sharding.shard_manifest(sharding.split_counts(_placed(spark, sf)), QUERY_SHARD)
 
 
 # --- composed jobs -----------------------------------------------------------

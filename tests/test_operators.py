@@ -209,20 +209,53 @@ def test_packing_equals_the_sequential_loop(spark, span, fan_in):
 def test_packed_blocks(spark):
     ids = [[1] * 5, [2] * 3, [3] * 1, [4] * 8, [5] * 2]
     tokens = spark.createDataFrame(list(enumerate(ids)), "ord bigint, input_ids array<int>")
-    placed = packing.assign_blocks(tokens.withColumn("length", F.size("input_ids")), 8)
-    fixed = packing.pack_fixed(tokens, placed, 0, 8).orderBy("block_id").collect()
+    placed = packing.plan_blocks(tokens.withColumn("length", F.size("input_ids")), 8, 9)
+    fixed = packing.pack_fixed(tokens, placed, 0).orderBy("block_id").collect()
     assert [r.input_ids for r in fixed] == [
         [1] * 5 + [2] * 3, [3] + [0] * 7, [4] * 8, [5] * 2 + [0] * 6,
     ]
-    free = packing.pack_variable(tokens, placed, 0, 8).orderBy("block_id").collect()
+    free = packing.pack_variable(tokens, placed, 0).orderBy("block_id").collect()
     assert [r.length for r in free] == [8, 1, 8, 8]
-    report = packing.diagnose(tokens, packing.pack_fixed(tokens, placed, 0, 8), 8).first()
+    report = packing.diagnose(tokens, packing.pack_fixed(tokens, placed, 0), 8).first()
     assert report.all_exact and report.blocks == 4 and report.docs == 5
-    assert packing.bad_blocks(packing.pack_variable(tokens, placed, 0, 8), 8).count() == 1
     with pytest.raises(ValueError):
         packing.assign_blocks(tokens.withColumn("length", F.size("input_ids")), 7)
 
 
+@pytest.mark.parametrize("bucket, fan_in", [(40, 2), (100, 3), (10_000, 1000)])
+def test_hashed_ids_give_even_buckets_and_the_same_blocks(spark, bucket, fan_in):
+    rng = random.Random(bucket)
+    # Ids all over 63 bits, most of them in one corner; some documents are empty.
+    ords = sorted(rng.sample(range(1000), 150) + [rng.randrange(1 << 62) for _ in range(80)] + [-(1 << 61)])
+    docs = [(o, [o % 1000] * rng.choice([0, 1, 3, 8, 20, 31, 32])) for o in ords]
+    tokens = spark.createDataFrame(docs, "ord bigint, input_ids array<int>").repartition(6)
+    plan = packing.plan_blocks(tokens.withColumn("length", F.size("input_ids")), 32, bucket, fan_in)
+    sizes = plan.lengths.groupBy("node").agg(F.sum("length").alias("n")).collect()
+    assert max(r.n for r in sizes) <= bucket + 32
+    want = {}
+    for (_, ids), (block, _) in zip(docs, pack_scan([len(i) for _, i in docs], 32)):
+        want.setdefault(block, []).extend(ids)
+    got = packing.build_blocks(tokens, plan)
+    assert {r.block_id: r.ids for r in got.collect()} == {b: i for b, i in want.items() if i}
+    placed = {r.ord: (r.block_id, r.offset) for r in packing.place_docs(plan).collect()}
+    assert [placed[o] for o in ords] == pack_scan([len(i) for _, i in docs], 32)
+
+
+def test_token_arrays_are_exchanged_once(spark, monkeypatch):
+    tokens = spark.createDataFrame([(i, [i] * 5) for i in range(50)], "ord bigint, input_ids array<int>")
+    plan = packing.plan_blocks(tokens.withColumn("length", F.size("input_ids")), 8, 40)
+    plans = []
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(packing, "materialise", keep)
+    packing.build_blocks(tokens, plan)
+    assert plans[0].count("Exchange hashpartitioning(node") <= 2 and "Exchange rangepartitioning" not in plans[0]
+    assert plans[0].count("Exchange") <= 2  # the narrow start states are the other side
+
+
 @pytest.mark.parametrize("total", [0, 1, 99, 100, 1000])
 def test_shards(spark, total):
     blocks = spark.range(total).select(F.col("id").alias("block_id"))
