@@ -239,15 +239,33 @@ def tokenize_ext(
     df: DataFrame, encoder: Encoder, max_seq_len: int = fx.BLOCK_SIZE,
     limit: int | None = None,
 ) -> DataFrame:
-    """(ord, input_ids, length): bos + ids + eos; a cut text still ends with eos."""
+    """(ord, input_ids, length, n_tokens): bos + ids + eos; a cut text still ends with eos.
+
+    n_tokens counts the ids without bos and eos and before the cut.
+    """
     encoded = encode_docs(_limited(df, limit), encoder)
     eos = F.array(F.lit(encoder.eos))
     room = F.slice("input_ids", 1, max_seq_len - 2)
     # With bos in front, the last kept place is always eos: cut or not.
     ids = F.concat(F.array(F.lit(encoder.bos)), room, eos)
-    return encoded.select("ord", ids.alias("input_ids")).withColumn(
-        "length", F.size("input_ids")
-    )
+    cut = encoded.select("ord", ids.alias("cut"), F.size("input_ids").alias("n_tokens"))
+    return cut.select("ord", F.col("cut").alias("input_ids"), F.size("cut").alias("length"), "n_tokens")
+
+
+def token_metrics() -> dict[str, Column]:
+    """Length statistics as aggregates that the write of the tokens collects; see `token_length_stats`."""
+    p50, p95, p99 = (F.percentile("n_tokens", p) for p in (0.5, 0.95, 0.99))
+    return {
+        "docs_counted": F.count(F.lit(1)), "avg_tokens": F.avg("n_tokens"), "median_tokens": p50, "p95_tokens": p95,
+        "p99_tokens": p99, "max_tokens": F.max("n_tokens").cast("bigint"), "min_length": F.min("length").cast("bigint"),
+        "max_length": F.max("length").cast("bigint"), "avg_length": F.avg("length"),
+    }
+
+
+def stats_of_metrics(spark: SparkSession, metrics: dict) -> DataFrame:
+    kinds = {"docs_counted": "bigint", "avg_tokens": "double", "median_tokens": "double", "p95_tokens": "double",
+             "p99_tokens": "double", "max_tokens": "bigint"}
+    return spark.createDataFrame([tuple(metrics[k] for k in kinds)], ", ".join(f"{k} {t}" for k, t in kinds.items()))
 
 
 def token_counts(df: DataFrame, encoder: Encoder, max_docs: int | None = None) -> DataFrame:

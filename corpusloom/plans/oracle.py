@@ -619,6 +619,67 @@ _STAGES = f"""WITH RECURSIVE {_NOISY},
   {_place('cut')}, {_splits('(SELECT max(block_id) + 1 FROM placed)')}"""
 
 
+# The whole job over the damaged lines: `docs` are the kept ones of the unique lines.
+_JOB = f"""WITH RECURSIVE {_PARSED}, unique_lines AS (
+  SELECT ord, status, text FROM parsed WHERE status IN ('OK', 'EMPTY')
+  QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY ord) = 1
+  UNION ALL SELECT ord, status, text FROM parsed WHERE status = 'MALFORMED'),
+  readable AS (SELECT ord, text FROM unique_lines WHERE status <> 'MALFORMED'),
+  {_verdicts('readable')},
+  docs AS (SELECT ord, text FROM verdicts WHERE verdict = 'KEPT'),
+  {_IDS}, cut AS (SELECT ord, least(len(ids) + 2, {fx.BLOCK_SIZE})::BIGINT AS n, len(ids) AS v FROM ids),
+  {_place('cut')}, {_splits('(SELECT max(block_id) + 1 FROM placed)')},
+  shards AS (SELECT split, i // {QUERY_SHARD} + 1 AS shard, count(*) AS blocks
+    FROM (SELECT split, unnest(range(blocks)) AS i FROM splits) GROUP BY ALL),
+  broken AS (SELECT count(*) AS n FROM unique_lines WHERE status = 'MALFORMED')"""
+
+
+def _job_sql() -> dict[str, str]:
+    reports = [
+        "SELECT 'cleaning_summary' AS report, counter || ' docs' AS name, docs::DOUBLE AS value FROM counted",
+        "SELECT 'cleaning_summary', counter || ' pct', docs * 100.0::DOUBLE / (SELECT sum(docs) FROM counted "
+        "WHERE counter <> 'HTML_STRIPPED') FROM counted",
+        "SELECT 'cleaning_flow', 'edge ' || edge, flow_value FROM (" + _FLOW.replace("FROM verdicts", "FROM judged") + ")",
+        "SELECT 'dedup_counts', 'kept', (SELECT count(*) FROM unique_lines)",
+        "SELECT 'dedup_counts', 'dropped', count(*) - (SELECT count(*) FROM unique_lines) FROM parsed WHERE status <> 'BAD_JSON'",
+    ]
+    lengths = {
+        "docs_counted": "count(*)", "avg_tokens": "avg(v)", "median_tokens": "quantile_cont(v, 0.5)",
+        "p95_tokens": "quantile_cont(v, 0.95)", "p99_tokens": "quantile_cont(v, 0.99)", "max_tokens": "max(v)",
+    }
+    reports += [f"SELECT 'token_length_stats', '{k}', {x} FROM cut" for k, x in lengths.items()]
+    blocks = "(SELECT max(block_id) + 1 FROM placed)"
+    packed = {
+        "docs": "count(*)", "min_length": "min(n)", "max_length": "max(n)", "avg_length": "avg(n)", "blocks": f"max({blocks})",
+        "distinct_lengths": "max(1)", "bad_blocks": "max(0)",
+    }
+    reports += [f"SELECT 'pack_diagnostics', '{k}', {x} FROM cut" for k, x in packed.items()]
+    reports.append("SELECT 'shard_manifest', split || ' ' || shard, blocks FROM shards")
+    judged = f"""judged AS (SELECT verdict, html_stripped FROM verdicts
+      UNION ALL SELECT 'MALFORMED', false FROM unique_lines WHERE status = 'MALFORMED'),
+    counted AS (SELECT counter, count(*) AS docs FROM (SELECT verdict AS counter FROM judged
+      UNION ALL SELECT 'HTML_STRIPPED' FROM judged WHERE html_stripped) GROUP BY 1)"""
+    union = " UNION ALL ".join(reports)
+    return {
+        "pipeline_lines": f"""{_JOB} SELECT 'raw' AS stage, count(*) AS rows FROM parsed
+          UNION ALL SELECT 'dedup', count(*) FROM unique_lines
+          UNION ALL SELECT 'status ' || s, count(p.ord) FROM (SELECT unnest(['OK', 'EMPTY', 'MALFORMED', 'BAD_JSON']) AS s)
+            LEFT JOIN parsed p ON p.status = s GROUP BY s
+          UNION ALL SELECT 'tokenized', count(*) FROM cut UNION ALL SELECT 'packed', {blocks}
+          UNION ALL SELECT 'shards ' || split, sum(blocks)::BIGINT FROM shards GROUP BY split""",
+        "reports_roundtrip": f"{_JOB}, {judged} SELECT report, name, round(value::DOUBLE, 6) AS value FROM ({union})",
+        "jsonl_roundtrip": f"WITH {_NOISY} SELECT ord, text, CASE WHEN {_strip('text')} = '' THEN 'EMPTY' ELSE 'OK' END "
+        "AS status FROM noisy",
+        "shards_roundtrip": f"""WITH RECURSIVE {_DOCS}, {_PACK}, {_splits(blocks)},
+          placed_in AS (SELECT CASE WHEN block_id < train THEN 'train' WHEN block_id < train + val THEN 'val' ELSE 'test' END
+              AS split, CASE WHEN block_id < train THEN block_id WHEN block_id < train + val THEN block_id - train
+              ELSE block_id - train - val END // {QUERY_SHARD} + 1 AS shard,
+            md5(array_to_string(ids, ' ') || {_PAD_TEXT}) AS digest FROM filled, parts)
+          SELECT split, shard, 1::BIGINT AS files, count(*) AS blocks, count(*) * {fx.BLOCK_SIZE} AS tokens,
+            md5(string_agg(digest, '' ORDER BY digest)) AS digest FROM placed_in GROUP BY ALL""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     noisy, docs = f"WITH {_NOISY} ", f"WITH {_DOCS} "
     pack = f"WITH RECURSIVE {_DOCS}, {_PACK}"
@@ -793,5 +854,6 @@ def all_sql() -> dict[str, str]:
         "UNION ALL SELECT 'shards', 'test_ratio', '0.01') SELECT * FROM pairs",
     }
     every = f"picked AS ({_sampled('docs', 2000)})"
+    sql |= _job_sql()
     sql["quality_report_all"] = sql["quality_report"].replace(every, "picked AS (SELECT * FROM docs)")
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from corpusloom.operators import (
     tokens, toxicity,
 )
 from corpusloom.plans import metadata, models, pipeline
-from corpusloom.session import materialise
+from corpusloom.session import materialise, work_dir
 from corpusloom.sources import jsonl, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -569,12 +570,90 @@ def shard_manifest(spark, sf):
 # --- composed jobs -----------------------------------------------------------
 
 
+def _fitted(spark, sf):
+    return pipeline.Models(
+        models.language_model(spark, sf), models.toxicity_model(spark, sf), encoder=models.encoder(spark, sf)
+    )
+
+
 def _stages(spark, sf):
     raw = tables.noisy_docs(spark, sf).select("ord", "text")
-    fitted = pipeline.Models(
-        models.language_model(spark, sf), models.toxicity_model(spark, sf), encoder=models.encoder(spark, sf)
+    stages = pipeline.build_stages(
+        lambda: raw, _fitted(spark, sf), lambda name, build, metrics=None: materialise(build(), name)
     )
-    return pipeline.build_stages(raw, fitted, materialise)
+    stages.raw = raw
+    return stages
+
+
+def _job(spark, sf):
+    """The whole job from a file of partly damaged lines; its stage copies are removed at the end."""
+    folder = f"{work_dir(spark)}/job-{uuid.uuid4().hex}"
+    lines = tables.json_lines(spark, sf).orderBy("ord").select("value")
+    lines.write.text(f"{folder}/lines")
+    ledger = pipeline.run_pipeline(
+        spark, f"{folder}/lines", f"{folder}/out", _fitted(spark, sf), shard_size=QUERY_SHARD, keep_stages=False
+    )[1]
+    return ledger, f"{folder}/out"
+
+
+@query
+def pipeline_lines(spark, sf):
+    """Rows per stage of that job, from its ledger and its shard files."""
+    ledger, out = _job(spark, sf)
+    rows = [("raw", ledger.metrics("raw")["rows"]), ("dedup", ledger.metrics("dedup")["rows"])]
+    rows += [(f"status {s}", ledger.metrics("raw")[s]) for s in jsonl.STATUSES]
+    rows += [("tokenized", ledger.metrics("tokenized")["docs_counted"]), ("packed", ledger.metrics("packed")["blocks"])]
+    counted = spark.createDataFrame(rows, "stage string, rows bigint")
+    splits = sharding.manifest_of_files(spark, f"{out}/sharded").groupBy(F.concat(F.lit("shards "), "split").alias("stage"))
+    return counted.unionByName(splits.agg(F.sum("blocks").alias("rows")))
+
+
+@query
+def reports_roundtrip(spark, sf):
+    """Reports of that job as read from their files: (report, name, value)."""
+    _, out = _job(spark, sf)
+
+    def rows(report, *columns):
+        df = spark.read.json(f"{out}/reports/{report}")
+        pairs = [F.struct(name.alias("name"), F.col(value).cast("double").alias("value")) for name, value in columns]
+        return df.select(F.lit(report).alias("report"), F.inline(F.array(*pairs)))
+
+    plain = lambda *names: [(F.lit(n), n) for n in names]
+    every = [
+        rows("cleaning_summary", (F.concat("counter", F.lit(" docs")), "docs"), (F.concat("counter", F.lit(" pct")), "pct_docs")),
+        rows("cleaning_flow", (F.concat(F.lit("edge "), F.col("edge").cast("string")), "flow_value")),
+        rows("dedup_counts", *plain("kept", "dropped")),
+        rows("token_length_stats", *plain("docs_counted", "avg_tokens", "median_tokens", "p95_tokens", "p99_tokens", "max_tokens")),
+        rows("pack_diagnostics", *plain("docs", "min_length", "max_length", "avg_length", "blocks", "distinct_lengths", "bad_blocks")),
+        rows("shard_manifest", (F.concat_ws(" ", "split", F.col("shard").cast("string")), "blocks")),
+    ]
+    out = every[0]
+    for more in every[1:]:
+        out = out.unionByName(more)
+    return rounded(out)
+
+
+@query
+def jsonl_roundtrip(spark, sf):
+    """Documents written as JSON Lines and read back, statuses and all."""
+    folder = f"{work_dir(spark)}/lines-{uuid.uuid4().hex}"
+    jsonl.write_jsonl(tables.noisy_docs(spark, sf).select("ord", "text"), folder)
+    back = jsonl.read_jsonl(spark, folder)
+    return back.select(F.get_json_object("value", "$.ord").cast("bigint").alias("ord"), "text", "status")
+
+
+@query
+def shards_roundtrip(spark, sf):
+    """Shards as read from their files, one file each, with a digest of their blocks."""
+    tokenized, plan = _planned(spark, sf)
+    packed = materialise(packing.pack_fixed(tokenized, plan, models.encoder(spark, sf).pad), "packed")
+    folder = f"{work_dir(spark)}/shards-{uuid.uuid4().hex}"
+    sharding.write_shards(sharding.assign_shards(packed, packed.count(), shard_size=QUERY_SHARD), folder)
+    rows = sharding.read_shards(spark, folder)
+    digest = F.md5(F.array_join(F.sort_array(F.collect_list(F.md5(as_text(F.col("input_ids"))))), ""))
+    content = rows.groupBy("split", "shard").agg(digest.alias("digest"))
+    listed = sharding.manifest_of_files(spark, folder).join(content, ["split", "shard"])
+    return listed.withColumn("shard", F.col("shard").cast("bigint"))
 
 
 @query

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def work_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a shared file or folder; a plain relative path is a local one."""
+    return fs.FileSystem.from_uri(uri if ":" in uri or uri.startswith("/") else os.path.abspath(uri))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back.
 

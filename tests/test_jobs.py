@@ -52,7 +52,7 @@ def test_pipeline_end_to_end(spark, sf_dir, raw_folder, tmp_path):
     fitted = pipeline.Models(
         models.language_model(spark, sf_dir), models.toxicity_model(spark, sf_dir)
     )
-    stages = pipeline.run_pipeline(spark, raw_folder, out, fitted, 256, 20, merges=50)
+    stages, ledger = pipeline.run_pipeline(spark, raw_folder, out, fitted, 256, 20, merges=50)
     table = {r.stage: r["rows"] for r in pipeline.stage_counts(stages).collect()}
     assert table["raw"] == 250 and table["clean"] == table["tokenized"] > 0
     tokens = stages.tokenized.agg(F.sum("length")).first()[0]
@@ -63,13 +63,52 @@ def test_pipeline_end_to_end(spark, sf_dir, raw_folder, tmp_path):
     assert shards.count() == table["packed"]
     assert {r[0] for r in shards.select("length").distinct().collect()} == {256}
     for name in ["raw_doc_stats", "raw_category_pct", "cleaning_summary", "quality_report",
-                 "token_length_stats", "pack_diagnostics", "shard_manifest", "clean_category_pct"]:
+                 "token_length_stats", "pack_diagnostics", "shard_manifest", "clean_category_pct",
+                 "dedup_counts", "timing"]:
         assert spark.read.json(f"{out}/reports/{name}").count() > 0
     meta = json.loads(spark.read.text(f"{out}/meta").first()[0])
     assert meta["data"]["total_blocks"] == table["packed"]
     assert meta["tokenizer"]["special_tokens"]["<|eos|>"] == stages.encoder.eos
 
 
+def _files(path):
+    found = glob.glob(f"{path}/**/*.parquet", recursive=True)
+    return {f: os.stat(f).st_mtime_ns for f in found}
+
+
+def test_killed_job_goes_on_where_it_was(spark, sf_dir, raw_folder, tmp_path, monkeypatch):
+    fitted = pipeline.Models(
+        models.language_model(spark, sf_dir), models.toxicity_model(spark, sf_dir), encoder=models.encoder(spark, sf_dir)
+    )
+    run = lambda out: pipeline.run_pipeline(spark, raw_folder, out, fitted, 256, 20, keep_stages=False)
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    _, ledger = run(whole)
+    read = lambda out, name: sorted(map(str, spark.read.json(f"{out}/{name}").collect()))
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    for module, step in [(pipeline.packing, "pack_fixed"), (pipeline.sharding, "write_shards")]:
+        with monkeypatch.context() as m:
+            m.setattr(module, step, dies)
+            with pytest.raises(RuntimeError):
+                run(broken)
+        # Copies that nothing needs any more are gone; what is finished is not written again.
+        assert not os.path.exists(f"{broken}/raw") and not os.path.exists(f"{broken}/dedup")
+        before = _files(f"{broken}/tokenized")
+        assert before
+    _, resumed = run(broken)
+    assert not _files(broken), "stage copies left"
+    for name in ("sharded", "reports/cleaning_summary", "reports/pack_diagnostics", "reports/quality_report"):
+        assert read(whole, name) == read(broken, name)
+    assert resumed.metrics("packed") == ledger.metrics("packed")
+    # Finished: nothing runs, not even the models.
+    again = pipeline.run_pipeline(spark, raw_folder, broken, fitted, 256, 20, keep_stages=False)[1]
+    assert again.metrics("dedup") == ledger.metrics("dedup")
+    # Other parameters are another job.
+    assert pipeline.Ledger(spark, broken, {"raw": "other"}).mark("raw") is None
+
+
 def test_stream_equals_batch(spark, sf_dir, raw_folder, tmp_path):
     from corpusloom.operators.clean import clean_verdicts
 
