@@ -8,57 +8,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fx
-from corpusloom.functions.text import TAG, let, text_lines
+from corpusloom.functions.text import let, text_lines
 
-_S, _W, _D = f"[{fx.SPACE_CLASS}]", f"[{fx.WORD_CLASS}]", fx.DIGIT_CLASS
-
-_ENTITY = rf"&[A-Za-z]+;|&#{_D}+;"
-_SCRIPT_OPEN = rf"(?iu)<(?:script|style)(?:{_S}|>)"
-
-_WEAK_CODE = "|".join(
-    [
-        rf"^{_S}*def{_S}+{_W}+{_S}*\(",
-        rf"^{_S}*return(?!{_W})",
-        rf"^{_S}*function{_S}+{_W}+{_S}*\(",
-        rf"#include{_S}+<{_W}+\.h>",
-        rf"^{_S}*fn{_S}+{_W}+{_S}*\(",
-        rf"^{_S}*(?:{'|'.join(fx.VISIBILITY_WORDS)}){_S}+{_W}+{_S}+{_W}+{_S}*\(",
-    ]
-)
+_WEAK_CODE = "|".join(fx.WEAK_CODE)
 
 _plain_words = [w for w in fx.CODE_KEYWORDS if not w.startswith("#")]
 _hash_words = [w for w in fx.CODE_KEYWORDS if w.startswith("#")]
+_W = f"[{fx.WORD_CLASS}]"
 
-# Lines arrive stripped, so ^ and $ are the ends of the visible text.
 _STRONG_CODE = "|".join(
     [re.escape(m) for m in fx.FENCE_MARKERS]
+    + fx.STRONG_CODE
     + [
-        r"^[^A-Za-z0-9]{4,}$",
-        r";$",
-        r"[{}]",
-        rf"{_S}{_W}+{_S}*=[^=]",
         rf"(?<!{_W})(?:{'|'.join(_plain_words)})(?!{_W})",
         rf"(?<={_W})(?:{'|'.join(_hash_words)})(?!{_W})",
-        rf"^def{_S}+{_W}+{_S}*\(",
-        rf"^(?:from|import){_S}+{_W}",
     ]
 )
 
-_MAILBOX = r"A-Za-z0-9._%+\-"
-# A local part is maximal to the left, so start only where one can start: the
-# search stays linear on long runs of mailbox characters.
-_EMAIL = rf"(?<![{_MAILBOX}])[{_MAILBOX}]++@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}"
-_PHONE = (
-    rf"(?:(?<={_W})\+|(?<!{_W})){_D}[{_D}\-{fx.SPACE_CLASS}]{{7,}}{_D}(?!{_W})"
-)
-_CARD = rf"(?<!{_W}){_D}(?:[ \-]*{_D}){{12,15}}(?!{_W})"
-
 
 def has_html(col: Column) -> Column:
     return (
-        F.rlike(col, F.lit(TAG))
-        | F.rlike(col, F.lit(_ENTITY))
-        | F.rlike(col, F.lit(_SCRIPT_OPEN))
+        F.rlike(col, F.lit(fx.TAG))
+        | F.rlike(col, F.lit(fx.ENTITY))
+        | F.rlike(col, F.lit(fx.SCRIPT_OPEN))
     )
 
 
@@ -90,7 +62,7 @@ def has_non_ascii(col: Column) -> Column:
 
 
 def pii_labels(col: Column) -> Column:
-    tests = zip(fx.PII_LABELS, [_EMAIL, _PHONE, _CARD])
+    tests = zip(fx.PII_LABELS, [fx.EMAIL, fx.PHONE, fx.CARD])
     return F.array_compact(
         F.array(*[F.when(F.rlike(col, F.lit(p)), F.lit(name)) for name, p in tests])
     )

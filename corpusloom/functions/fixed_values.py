@@ -82,3 +82,41 @@ FLOW_NODES = ["Raw Data", "HTML Present", "English", "Filtered Out", "Final Kept
 PRETOKEN = (
     r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+
+# --- published patterns, with the character classes above in place of \s, \w and \d ----
+_S, _W, _D = f"[{SPACE_CLASS}]", f"[{WORD_CLASS}]", DIGIT_CLASS
+
+# HTML: a tag, an entity, the start of a script or style block, such a block, a comment.
+TAG = rf"</?[A-Za-z][A-Za-z0-9]*(?:[{SPACE_CLASS}][^>]*)?>"
+ENTITY = rf"&[A-Za-z]+;|&#{_D}+;"
+SCRIPT_OPEN = rf"(?iu)<(?:script|style)(?:{_S}|>)"
+SCRIPT_STYLE = r"(?isu)<script.*?>.*?</script>|<style.*?>.*?</style>"
+COMMENT = r"(?s)<!--.*?-->"
+
+# Code lines, weak set.
+WEAK_CODE = [
+    rf"^{_S}*def{_S}+{_W}+{_S}*\(",
+    rf"^{_S}*return(?!{_W})",
+    rf"^{_S}*function{_S}+{_W}+{_S}*\(",
+    rf"#include{_S}+<{_W}+\.h>",
+    rf"^{_S}*fn{_S}+{_W}+{_S}*\(",
+    rf"^{_S}*(?:{'|'.join(VISIBILITY_WORDS)}){_S}+{_W}+{_S}+{_W}+{_S}*\(",
+]
+
+# Code lines, strong set, beside fence markers and keywords. Lines arrive stripped, so ^ and $ are the ends
+# of the visible text.
+STRONG_CODE = [
+    r"^[^A-Za-z0-9]{4,}$",
+    r";$",
+    r"[{}]",
+    rf"{_S}{_W}+{_S}*=[^=]",
+    rf"^def{_S}+{_W}+{_S}*\(",
+    rf"^(?:from|import){_S}+{_W}",
+]
+
+# Personal data. A local part is maximal to the left, so start only where one can start: the search stays
+# linear on long runs of mailbox characters.
+MAILBOX_CLASS = r"A-Za-z0-9._%+\-"
+EMAIL = rf"(?<![{MAILBOX_CLASS}])[{MAILBOX_CLASS}]++@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}"
+PHONE = rf"(?:(?<={_W})\+|(?<!{_W})){_D}[{_D}\-{SPACE_CLASS}]{{7,}}{_D}(?!{_W})"
+CARD = rf"(?<!{_W}){_D}(?:[ \-]*{_D}){{12,15}}(?!{_W})"

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from corpusloom.functions import fixed_values as fx
 from corpusloom.functions.entities import decode_entities
 
-TAG = rf"</?[A-Za-z][A-Za-z0-9]*(?:[{fx.SPACE_CLASS}][^>]*)?>"
-_SCRIPT_STYLE = r"(?isu)<script.*?>.*?</script>|<style.*?>.*?</style>"
-_COMMENT = r"(?s)<!--.*?-->"
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with the value computed once per row.
@@ -42,9 +38,9 @@ def normalize_text(col: Column) -> Column:
 
 def strip_html(col: Column) -> Column:
     """Script and style blocks, comments, tags out; entities decoded; one line."""
-    out = F.regexp_replace(col, _SCRIPT_STYLE, " ")
-    out = F.regexp_replace(out, _COMMENT, " ")
-    out = F.regexp_replace(out, TAG, " ")
+    out = F.regexp_replace(col, fx.SCRIPT_STYLE, " ")
+    out = F.regexp_replace(out, fx.COMMENT, " ")
+    out = F.regexp_replace(out, fx.TAG, " ")
     out = decode_entities(out)
     out = F.regexp_replace(out, rf"[{fx.SPACE_CLASS}]+", " ")
     return strip_space(out)
