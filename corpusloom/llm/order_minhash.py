@@ -2,9 +2,10 @@
 
 The k-mers of a text are runs of words, numbered by occurrence, so that a repeated k-mer counts as often
 as it stands. One hash of (k-mer, number) deals them into slots, and the smallest hash of a slot is
-selected. Two slots form a tuple: its k-mers, hashed in the order in which they stand in the text.
-Texts share a tuple if they share its k-mers in the same order, so the share of equal tuples falls with
-edits and with moves alike.
+selected. A tuple has two slots of its own, or, where they are empty, the next slots around that are
+not; so every tuple of a text of two k-mers or more holds two of its minimal k-mers, in short texts too.
+They are hashed in the order in which they stand in the text. Texts share a tuple if they share its
+k-mers in the same order, so the share of equal tuples falls with edits and with moves alike.
 """
 
 from __future__ import annotations
@@ -33,8 +34,33 @@ def _kmers(rows: DataFrame, text: str) -> DataFrame:
     return each.filter(whole).withColumn("kmer", kmer).drop("_words", "_pair")
 
 
+def _tuple(one: Column, other: Column) -> Column:
+    """Hash of two selected k-mers in text order."""
+    ahead = one["pos"] <= other["pos"]
+    first, second = F.when(ahead, one["h"]).otherwise(other["h"]), F.when(ahead, other["h"]).otherwise(one["h"])
+    return F.xxhash64(first, second).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _tuples(selected: Column) -> Column:
+    """The hashes of all tuples from the selected k-mers (slot, h, pos), in slot order.
+
+    Tuple t takes the first slot from 2 t on that holds a k-mer, and the one after it, both around the
+    end. A slot is thus the first of all tuples after the slot before it, up to its own.
+    """
+    n = F.size(selected)
+    own = lambda e: F.floor(e["slot"] / 2).cast("int")
+    place = lambda i: F.get(selected, i % n)
+
+    def runs(e: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(own(F.get(selected, i - 1)))
+        return F.array_repeat(_tuple(e, place(i + 1)), own(e) - before)
+
+    rest = F.array_repeat(_tuple(place(F.lit(0)), place(F.lit(1))), TUPLES - 1 - own(F.get(selected, n - 1)))
+    return F.concat(F.flatten(F.transform(selected, runs)), rest)
+
+
 def sketches(rows: DataFrame, key: list[str], text: str) -> DataFrame:
-    """(key, tuple, hash) for every tuple that has a k-mer. The key must tell the rows apart.
+    """(key, hashes): the tuples of every text that has a word. The key must tell the rows apart.
 
     Keeps the partitioning of its input if that is by columns of the key.
     """
@@ -43,27 +69,23 @@ def sketches(rows: DataFrame, key: list[str], text: str) -> DataFrame:
     numbered = kmers.select(*key, "pos", F.xxhash64("kmer", F.row_number().over(same)).alias("h"))
     slots = numbered.withColumn("slot", F.pmod("h", F.lit(2 * TUPLES)).cast("int"))
     least = slots.groupBy(*key, "slot").agg(F.min("h").alias("h"), F.min_by("pos", "h").alias("pos"))
-    tuple_ = F.floor(F.col("slot") / 2).cast("int").alias("tuple")
-    ordered = least.groupBy(*key, tuple_).agg(F.min_by("h", "pos").alias("a"), F.max_by("h", "pos").alias("b"))
-    return ordered.select(*key, "tuple", F.xxhash64("a", "b").bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash"))
-
-
-def _columns(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(TUPLES)]
+    # At most two per tuple.
+    selected = least.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("slot", "h", "pos"))).alias("selected"))
+    return selected.select(*key, _tuples(F.col("selected")).alias("hashes"))
 
 
-def fingerprint(prefix: str) -> Column:
-    """All tuples as one string, 8 hex digits each."""
-    each = [F.coalesce(F.lower(F.lpad(F.hex(c), 8, "0")), F.lit(_EMPTY)) for c in _columns(prefix)]
-    return F.concat(*each)
+def fingerprint(hashes: Column | str) -> Column:
+    """All tuples as one string, 8 hex digits each; without words, dashes."""
+    hashes = F.col(hashes) if isinstance(hashes, str) else hashes
+    digits = F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
+    return F.coalesce(digits, F.lit(_EMPTY * TUPLES))
 
 
 def likeness(left: str, right: str) -> Column:
-    """Share of equal tuples among those that either has; 1 if neither has any."""
-    pairs = list(zip(_columns(left), _columns(right)))
-    same = sum((F.coalesce((F.col(a) == F.col(b)).cast("int"), F.lit(0)) for a, b in pairs), F.lit(0))
-    either = sum(((F.col(a).isNotNull() | F.col(b).isNotNull()).cast("int") for a, b in pairs), F.lit(0))
-    return F.when(either == 0, F.lit(1.0)).otherwise(same / either)
+    """Share of equal tuples; of texts without words, 1 with each other and 0 with any other."""
+    same = F.filter(F.zip_with(left, right, lambda a, b: a == b), lambda equal: equal)
+    neither = F.col(left).isNull() & F.col(right).isNull()
+    return F.when(neither, F.lit(1.0)).otherwise(F.coalesce(F.size(same) / F.lit(float(TUPLES)), F.lit(0.0)))
 
 
 def _bucket(bounds: list[int]) -> Column:
@@ -140,10 +162,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     ).select("bucket", "rn", "t.side", "t.text")
     tuples = sketches(both, ["bucket", "rn", "side"], "text")
     wide = tuples.groupBy("bucket", "rn").agg(
-        *[
-            F.max(F.when((F.col("side") == side) & (F.col("tuple") == i), F.col("hash"))).alias(f"{name}{i}")
-            for side, name in ((0, "o"), (1, "e")) for i in range(TUPLES)
-        ]
+        *[F.max(F.when(F.col("side") == side, F.col("hashes"))).alias(name) for side, name in ((0, "o"), (1, "e"))]
     )
     facts = rows.select(
         "bucket", "rn", "next_bucket", "next_rn", "doc_id",
@@ -152,7 +171,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     known = materialise(facts.join(wide, ["bucket", "rn"], "left"), "order-minhash")
     following = known.select(
         F.col("bucket").alias("next_bucket"), F.col("rn").alias("next_rn"),
-        *[F.col(o).alias(n) for o, n in zip(_columns("o"), _columns("n"))],
+        F.col("o").alias("n"),
     )
     return known.join(following, ["next_bucket", "next_rn"]).select(
         "doc_id", "n_chars", "edited_sha256",
