@@ -1,16 +1,20 @@
 """Best-fit packing by a configuration linear program over the length histogram.
 
 A configuration is a multiset of piece lengths that fits one sequence. The program asks for the
-fewest sequences that cover every length as often as it occurs. Multiplicative weights price the
-lengths, a knapsack dynamic program finds the configuration of the highest price, and the scaled
-solution is rounded down and by one more; what is left over is placed best fit, longest first. All of this sees only
-the histogram, at most `capacity` numbers. Spark counts the histogram, numbers the pieces of each
-length, and looks up the place of each number.
+fewest sequences that cover every length as often as it occurs. Multiplicative weights price all
+lengths, and one knapsack dynamic program per round finds, for every length, the configuration of the
+highest price that holds it. Configurations that waste nothing are columns at the program's bound; they
+are taken in whole sequences, as often as their pieces last, which rounds the solution as it grows.
+Lengths that many columns ask for lose weight, so the next round finds others. What is left over is
+placed best fit, longest first. All of this sees only the histogram, at most `capacity` numbers. Spark
+counts the histogram, numbers the pieces of each length, and looks up the place of each number.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,55 +25,73 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import id_text, materialise
 from corpusloom.llm.token_ids import crc_of, tokenizer
 
-#: Rounds of multiplicative weights, how fast a covered length loses weight, and how many lengths
-#: (those that fill the most) the program prices; all other pieces are placed best fit.
-ROUNDS, STEP, PRICED = 64, 1.0, 256
+#: Rounds of multiplicative weights, and how much weight the length most asked for loses in one.
+ROUNDS, STEP = 100, 0.1
 
 Configuration = tuple[tuple[int, int], ...]  # (length, times), longest first
 
 
-def best_configuration(
-    lengths: np.ndarray, price: np.ndarray, most: np.ndarray, capacity: int
-) -> dict[int, int]:
-    """A multiset of lengths within the capacity of the highest price, each at most `most` times."""
-    value = np.zeros(capacity + 1)
-    used = np.zeros((capacity + 1, len(lengths)), np.int32)
-    for room in range(1, capacity + 1):
-        value[room], used[room] = value[room - 1], used[room - 1]
-        fits = np.arange(np.searchsorted(lengths, room, "right"))
-        before = room - lengths[fits]
-        total = np.where(used[before, fits] < most[fits], value[before] + price[fits], -1.0)
-        if len(fits) and total[best := int(total.argmax())] > value[room]:
-            value[room], used[room] = total[best], used[before[best]]
-            used[room, best] += 1
-    return {int(lengths[i]): int(used[capacity, i]) for i in np.flatnonzero(used[capacity])}
-
-
-def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Configuration, float]:
-    """Sequences per configuration, a fraction allowed; no priced length is covered more than once over.
-
-    Prices start at length / capacity, which is feasible for the dual program, and fall
-    multiplicatively as a length gets covered.
+def knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The highest price within each room, and the last length taken there (a place, or -1 for none).
+
+    lengths: rising. A length may be taken any number of times.
     """
-    largest = sorted(histogram, key=lambda n: (-n * histogram[n], n))[:PRICED]
-    lengths = np.array(sorted(largest), np.int64)
-    need = np.array([histogram[n] for n in lengths.tolist()], float)
-    covered = np.zeros(len(lengths))
-    found: dict[Configuration, float] = {}
+    value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    for room in range(int(lengths[0]) if len(lengths) else capacity + 1, capacity + 1):
+        total = value[room - lengths[: fits[room]]] + price[: fits[room]]
+        best = int(total.argmax())
+        if total[best] > value[room - 1]:
+            value[room], last[room] = total[best], best
+        else:
+            value[room] = value[room - 1]
+    return value, last
+
+
+def _traced(last: np.ndarray, lengths: list[int], room: int) -> Counter:
+    """The configuration behind the price of a room."""
+    found: Counter = Counter()
+    while room > 0:
+        if last[room] < 0:
+            room -= 1
+        else:
+            length = lengths[last[room]]
+            found[length] += 1
+            room -= length
+    return found
+
+
+def solve(
+    histogram: dict[int, int], capacity: int, rounds: int = ROUNDS
+) -> tuple[dict[Configuration, int], dict[int, int]]:
+    """Whole sequences per configuration, and the pieces of each length that are left over.
+
+    With weight 1 a length costs length / capacity, which is feasible for the dual program, so a column
+    without waste is at the bound. Every length is priced in every round.
+    """
+    left = {n: k for n, k in histogram.items() if k}
+    weight = dict.fromkeys(left, 1.0)
+    found: Counter = Counter()
     for _ in range(rounds):
-        left = need * (1 - covered)
-        open_ = left >= 1
-        if not open_.any():
+        lengths = np.array(sorted(n for n, k in left.items() if k), np.int64)
+        if not len(lengths):
             break
-        price = lengths[open_] / capacity * np.exp(-STEP * covered[open_])
-        chosen = best_configuration(lengths[open_], price, left[open_].astype(np.int64), capacity)
-        at = np.searchsorted(lengths, sorted(chosen))
-        times = np.array([chosen[n] for n in lengths[at].tolist()], float)
-        share = float((left[at] / times).min())  # sequences until a length is covered
-        covered[at] += share * times / need[at]
-        key = tuple((n, chosen[n]) for n in sorted(chosen, reverse=True))
-        found[key] = found.get(key, 0.0) + share
-    return found
+        names = lengths.tolist()
+        _, last = knapsack(lengths, lengths / capacity * np.array([weight[n] for n in names]), capacity)
+        asked: Counter = Counter()
+        for n in reversed(names):
+            column = _traced(last, names, capacity - n)
+            column[n] += 1
+            asked.update(column.keys())
+            copies = min(left[k] // times for k, times in column.items())
+            if copies and sum(k * times for k, times in column.items()) == capacity:
+                found[tuple(sorted(column.items(), reverse=True))] += copies
+                for k, times in column.items():
+                    left[k] -= copies * times
+        most = max(asked.values())
+        for k, times in asked.items():
+            weight[k] *= math.exp(-STEP * times / most)
+    return dict(found), {n: k for n, k in left.items() if k}
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> dict[Configuration, int]:
@@ -105,18 +127,22 @@ def best_fit(histogram: dict[int, int], capacity: int) -> dict[Configuration, in
 
 
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
-    """(configuration, sequences) that hold every piece exactly once."""
-    left = dict(histogram)
-    packed: list[tuple[Configuration, int]] = []
-    if left:
-        for key, copies in sorted(solve(left, capacity, rounds).items(), key=lambda x: -x[1]):
-            whole = min(int(copies) - 1, *(left[n] // k for n, k in key))
-            if whole > 0:
-                packed.append((key, whole))
-                for n, k in key:
-                    left[n] -= whole * k
-        packed += best_fit({n: k for n, k in left.items() if k}, capacity).items()
-    return packed
+    """(configuration, sequences) that hold every piece exactly once; never more than best fit alone takes."""
+    columns, left = solve(histogram, capacity, rounds)
+    packed = [*columns.items(), *best_fit(left, capacity).items()]
+    alone = [*best_fit({n: k for n, k in histogram.items() if k}, capacity).items()]
+    return min(packed, alone, key=lambda x: sum(copies for _, copies in x))
+
+
+def quality(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[str, float]:
+    """Sequences of the plan, the bound of the program, and the share of the pieces that its columns place."""
+    _, left = solve(histogram, capacity, rounds)
+    pieces = sum(histogram.values())
+    return {
+        "sequences": sum(copies for _, copies in plan(histogram, capacity, rounds)),
+        "bound": -(-sum(n * k for n, k in histogram.items()) // capacity),
+        "placed_by_columns": 1 - sum(left.values()) / pieces if pieces else 1.0,
+    }
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +36,33 @@ def test_plan_is_close_to_the_least_number():
     histogram = dict(zip(*(a.tolist() for a in np.unique(lengths, return_counts=True))))
     sequences = sum(c for _, c in packing.plan(histogram, 4096))
     assert sequences <= -(-int(lengths.sum()) // 4096) * 1.002 + 1
-    assert packing.solve(histogram, 4096)
+    # The columns of the program, not best fit, place most pieces: every length is priced.
+    quality = packing.quality(histogram, 4096)
+    assert quality["sequences"] == sequences and quality["placed_by_columns"] > 0.6
+
+
+def test_columns_waste_nothing_and_beat_or_equal_best_fit():
+    histogram = {60: 50, 40: 50, 35: 40, 30: 80, 25: 10, 5: 100}
+    columns, left = packing.solve(histogram, 100)
+    assert columns and all(sum(n * k for n, k in key) == 100 for key in columns)
+    held = Counter(left)
+    for key, copies in columns.items():
+        held.update({n: k * copies for n, k in key})
+    assert held == histogram
+    alone = sum(packing.best_fit(histogram, 100).values())
+    assert sum(c for _, c in packing.plan(histogram, 100)) <= alone
+    assert packing.plan({}, 100) == [] and packing.plan({7: 0}, 100) == []
+
+
+def test_knapsack_finds_the_highest_price():
+    lengths, price = np.array([3, 5, 7]), np.array([0.4, 0.8, 1.0])
+    value, last = packing.knapsack(lengths, price, 30)
+    want = np.zeros(31)
+    for room in range(1, 31):
+        want[room] = max([want[room - 1]] + [want[room - n] + p for n, p in zip(lengths, price) if n <= room])
+    assert np.allclose(value, want)
+    traced = packing._traced(last, lengths.tolist(), 30)
+    assert np.isclose(sum(price[list(lengths).index(n)] * k for n, k in traced.items()), value[30])
 
 
 def test_pack_documents(make_docs, odd_pairs):
