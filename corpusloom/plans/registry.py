@@ -26,7 +26,7 @@ _QUERIES: dict[str, Query] = {}
 
 # Block sizes used by the registered queries.
 QUERY_SHARD = 100
-QUERY_BUCKET = 20_000
+QUERY_BUCKET = 100_000
 NEAR_WIDE = 8
 
 
@@ -513,7 +513,7 @@ def token_histogram(spark, sf):
 def _planned(spark, sf):
     """Small buckets and a low fan-in, so that the tree has several levels."""
     tokenized = materialise(_tokenized(spark, sf), "tokenized")
-    return tokenized, packing.plan_blocks(tokenized, bucket_tokens=QUERY_BUCKET, fan_in=3)
+    return tokenized, packing.plan_blocks(tokenized, bucket_tokens=QUERY_BUCKET, fan_in=8)
 
 
 def _placed(spark, sf):
