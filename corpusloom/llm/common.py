@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.session import materialise, work_dir
 
-__all__ = ["Words", "id_text", "materialise", "open_shared", "scattered", "shared_folder", "table"]
+__all__ = ["id_text", "materialise", "open_shared", "shared_folder", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,17 +33,3 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def open_shared(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a file in the shared folder, in a task or on the driver."""
     return fs.FileSystem.from_uri(uri)
-
-
-def scattered(*cols: Column | str) -> Column:
-    """Never null, 64 bits: a key under which equal rows meet."""
-    return F.xxhash64(*cols)
-
-
-class Words:
-    """Rows of one Arrow batch, one document at a time."""
-
-    @staticmethod
-    def rows(batch: pa.RecordBatch):
-        for row, text in zip(batch.column(0), batch.column(1), strict=True):
-            yield row.as_py(), text.as_py()
