@@ -1,18 +1,23 @@
 """Token-id files written by an adaptive context-mixing range coder.
 
-Three predictors name the next id: the id that last followed the two ids before (order 2), the one
-before (order 1), and the block's favourite (order 0, a majority vote). Their confidences form a
-context; adaptive counts per context mix the three with a uniform escape into one interval for a
-64-bit range coder. Blocks are coded independently: all state is reset per block, and each block has a
-checksum. NumPy codes all blocks of a group in lockstep, one id of every block per step.
-
-A file is a run of groups and a footer: the groups' positions, the documents' (id, length), and the
-file's number of ids. Files are written and read in tasks; Spark sorts the documents.
+The next id is coded with a mixture of three distributions. Order 0 is the frequencies of all ids so far
+(ids not seen yet share a part). Orders 1 and 2 are looked up by the one and the two ids before, and put
+their mass on the id that they last saw there. How much mass each of them gets is learned per context,
+a context being the confidences of both and whether they agree. The mixed distribution's interval of
+the id narrows the range of a 64-bit coder that carries into what it has put out.
+
+Blocks are independent: each starts with an empty model and has a checksum. Inside a block NumPy works
+on lanes, runs of ids side by side that share the one model: a step codes the next id of every lane, and
+the model learns from all of them before the next step. The decoder repeats these steps.
+
+A file is a run of blocks and a footer: the blocks' positions and checksums, the documents' (id, length).
+Files are written and read in tasks; Spark sorts the documents.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import uuid
 import zlib
 
@@ -24,178 +29,228 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import id_text, materialise, open_shared, shared_folder
 from corpusloom.llm.token_ids import tokenizer
 
-#: Ids per block, blocks per group (the lockstep width), and rows of a block's order-1 and order-2 tables.
-BLOCK, GROUP, TABLE_BITS = 2048, 2048, 9
+#: Ids per block and lanes of a full one.
+BLOCK, LANES = 1 << 22, 2048
 #: Chunks that a writing task remembers, more than elsewhere: it does little else with its memory.
 MEMO_CHUNKS = 900_000
-MAGIC = b"CLRC1\n"
+MAGIC = b"CLRC2\n"
 
-_CONTEXTS = 16  # of two confidences
-_RATE, _LEAST = 5, 64  # adaption of the edges, and the least share (of 65536) an outcome aims at
-_SIXTEEN, _WORD = np.uint64(16), np.uint64(32)
-_LOW, _FULL = np.uint64((1 << 32) - 1), np.uint64(1 << 32)
-
-_HASH = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-_MIX = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+# Bits of an order-0 share and of a mixing weight; together 32, so that a mixed share needs no rounding.
+_SHARE_BITS, _WEIGHT_BITS = 22, 10
+_LEAST_WEIGHT = 16  # of order 0, which alone covers every id
+_SURE = 7  # the highest confidence of orders 1 and 2; only an empty cell has 0
+_CONTEXTS = 2 * (_SURE + 1) ** 2
+_RUN = 32  # shares per entry of the table that finds an id by its share
+_CELL_BITS = 20  # rows of the order-2 table
+# What a miss or a hit (+ 8) adds to a cell; one that is not sure is set anew on a miss.
+_STEP = np.array([0, 0, *[-1] * (_SURE - 1), *[1] * _SURE, 0], np.int64)
+_TOTAL, _DIGIT = np.uint64(_SHARE_BITS + _WEIGHT_BITS), np.uint64(16)
+_TOP, _WIDE = np.uint64(48), np.uint64(1 << 48)
 
 
 class _Model:
-    """The predictors of n blocks side by side. Places in tables are 64-bit, which NumPy looks up fastest."""
-
-    def __init__(self, n: int):
-        size = 1 << TABLE_BITS
-        self.lanes = np.arange(n)
-        self.rows = self.lanes * size
-        # A cell holds (id + 1) * 4 + confidence; 0 is empty.
-        self.order1, self.order2 = np.zeros(n * size, np.int32), np.zeros(n * size, np.int32)
-        self.favourite, self.vote = np.full(n, -1, np.int32), np.zeros(n, np.int32)
-        self.at1, self.at2 = self.rows.copy(), self.rows.copy()
-        self.mixed = np.zeros(n, np.int64)
-        # Edges between the outcomes order 2, order 1, order 0 and escape, adaptive per context.
-        self.edges = [np.full(n * _CONTEXTS, start) for start in (6000, 12000, 14000)]
-        self.now = np.empty((5, n), np.int64)
-        self.now[0], self.now[4] = 0, 1 << 16
-        self.base = self.lanes * _CONTEXTS
-        self.n = n
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids that orders 2, 1 and 0 predict (-1: none); sets the context that mixes them."""
+    """The three predictors of a block of `n` lanes, their mixture, and what they learn from a step."""
+
+    def __init__(self, n: int, alphabet: int):
+        self.order1 = np.zeros(1 << 16, np.int64)  # cells: (id + 1) * 8 + confidence; empty: 0
+        self.order2 = np.zeros(1 << _CELL_BITS, np.int64)
+        self.at1, self.at2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.counts = np.zeros(alphabet, np.int64)
+        self.hits = np.zeros((_CONTEXTS, 4), np.int64)
+        self.steps, self.next_refresh, self.recent = 0, 0, []
+        self._refresh()
+
+    def _refresh(self) -> None:
+        """Order-0 shares and mixing weights from the counts; ever rarer, so the cost grows with the logarithm."""
+        if self.recent:
+            self.counts += np.bincount(np.concatenate(self.recent), minlength=len(self.counts))
+            self.recent = []
+        size, total = len(self.counts), 1 << _SHARE_BITS
+        seen, kinds = int(self.counts.sum()), int(np.count_nonzero(self.counts))
+        # New ids get the share of steps that brought one, as far as it goes round.
+        least = max(1, total * (kinds or 1) // (seen + kinds or 1) // size)
+        share = least + self.counts * (total - least * size) // max(seen, 1)
+        self.edges = np.concatenate([[0], np.cumsum(share)])
+        self.edges[-1] = total
+        self.share = np.diff(self.edges)
+        # The last id that starts at or before each run of shares.
+        runs = np.bincount((self.edges[1:-1] + _RUN - 1) // _RUN, minlength=total // _RUN + 1)
+        self.at_run = np.cumsum(runs)
+        free = (1 << _WEIGHT_BITS) - _LEAST_WEIGHT
+        tried = self.hits.sum(axis=1) + 2
+        self.weight2 = free * self.hits[:, 2:].sum(axis=1) // tried
+        self.weight1 = free * self.hits[:, 1] // tried
+        self.weight0 = (1 << _WEIGHT_BITS) - self.weight1 - self.weight2
+        self.weight1 <<= _SHARE_BITS
+        self.weight2 <<= _SHARE_BITS
+        self.next_refresh = self.steps + 1 + self.steps // 10
+
+    def predict(self) -> None:
+        """The ids named by orders 1 and 2 (-1: none), and the masses of all three orders."""
         self.cell1, self.cell2 = self.order1.take(self.at1), self.order2.take(self.at2)
-        self.sure1, self.sure2 = self.cell1 & 3, self.cell2 & 3
-        self.context = self.base + ((self.sure2 << 2) + self.sure1)
-        for k in (1, 2, 3):
-            np.take(self.edges[k - 1], self.context, out=self.now[k], mode="clip")
-        return (self.cell2 >> 2) - 1, (self.cell1 >> 2) - 1, self.favourite
-
-    def interval(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, flat = slot * self.n + self.lanes, self.now.reshape(-1)
-        return flat.take(at), flat.take(at + self.n)
-
-    def learn(self, x: np.ndarray, slot: np.ndarray, same2: np.ndarray, same1: np.ndarray, same0: np.ndarray) -> None:
-        for k in (1, 2, 3):
-            # An outcome takes all but the least shares of the others.
-            aim = (slot < k) * ((1 << 16) - 4 * _LEAST) + k * _LEAST
-            aim -= self.now[k]
-            aim >>= _RATE
-            aim += self.now[k]
-            self.edges[k - 1][self.context] = aim
-        fresh = (x + 1) << 2
+        self.id1, self.id2 = (self.cell1 >> 3) - 1, (self.cell2 >> 3) - 1
+        self.sure1, self.sure2 = self.cell1 & 7, self.cell2 & 7
+        self.context = ((self.id1 == self.id2) << 6) + (self.sure2 << 3) + self.sure1
+        self.mass0 = self.weight0.take(self.context)
+        self.mass1, self.mass2 = self.weight1.take(self.context), self.weight2.take(self.context)
+
+    def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of x in the mixed distribution."""
+        start = self.mass0 * self.edges.take(x) + self.mass1 * (self.id1 < x) + self.mass2 * (self.id2 < x)
+        width = self.mass0 * self.share.take(x) + self.mass1 * (self.id1 == x) + self.mass2 * (self.id2 == x)
+        return start, width
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids whose intervals hold the values. What orders 1 and 2 give an id stands before its order-0 part."""
+        start1 = self.mass0 * self.edges.take(self.id1, mode="wrap") + self.mass2 * (self.id2 < self.id1)
+        start2 = self.mass0 * self.edges.take(self.id2, mode="wrap") + self.mass1 * (self.id1 < self.id2)
+        past1, past2 = value >= start1 + self.mass1, value >= start2 + self.mass2
+        inner = (value - self.mass1 * past1 - self.mass2 * past2) // self.mass0
+        np.minimum(inner, (1 << _SHARE_BITS) - 1, out=inner)  # where order 1 or 2 has the value
+        x = self.at_run.take(inner // _RUN)
+        for _ in range(2):
+            x += self.edges.take(x + 1) <= inner
+        far = np.flatnonzero(self.edges.take(x + 1) <= inner)
+        if len(far):
+            x[far] = np.searchsorted(self.edges, inner[far], "right") - 1
+        x = np.where((value >= start1) & ~past1, self.id1, x)
+        return np.where((value >= start2) & ~past2, self.id2, x)
+
+    def learn(self, x: np.ndarray) -> None:
+        """Lanes that meet in one cell: the last of them sets it."""
+        same1, same2 = self.id1 == x, self.id2 == x
+        # Outcomes 0: neither order had it, 1: order 1 alone, 2 and 3: order 2.
+        outcome = (self.context << 2) + same1 + (same2 << 1)
+        self.hits += np.bincount(outcome, minlength=4 * _CONTEXTS).reshape(-1, 4)
+        fresh = ((x + 1) << 3) + 1
         for table, at, cell, sure, same in (
             (self.order1, self.at1, self.cell1, self.sure1, same1),
             (self.order2, self.at2, self.cell2, self.sure2, same2),
         ):
-            table[at] = np.where(same, cell + (sure < 3), np.where(sure > 0, cell - 1, fresh))
-        self.vote += same0
-        self.vote -= ~same0
-        lost = self.vote < 0
-        self.favourite = np.where(lost, x, self.favourite)
-        self.vote += lost
-        self.vote += lost
-        place = x.astype(np.int64)
-        hashed = _HASH.take(place)
-        self.at1 = self.rows + hashed
-        self.at2 = self.rows + (hashed ^ self.mixed)
-        self.mixed = _MIX.take(place)
-
-
-class _Range:
-    """Low ends and widths of n blocks' intervals; a width never stays below 2 ** 32."""
-
-    def __init__(self, n: int):
-        self.low, self.width = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
-
-    def narrow(self, start: np.ndarray, end: np.ndarray) -> None:
-        self.width >>= _SIXTEEN
-        self.low += self.width * start.view(np.uint64)
-        self.width *= (end - start).view(np.uint64)
-
-    def escape(self, lost: np.ndarray, x: np.ndarray) -> None:
-        """An id in full, where `lost`; x is 0 elsewhere."""
-        self.width >>= lost.astype(np.uint64) << np.uint64(4)
-        self.low += self.width * x.astype(np.uint64)
-
-    def short(self) -> np.ndarray:
-        """Blocks that must put out a word. A width that would carry into it is cut."""
-        need = self.width < _FULL
-        room = _FULL - (self.low & _LOW)
-        self.width = np.where(need, np.minimum(self.width, room), self.width)
-        return need
-
-    def shift(self, need: np.ndarray) -> None:
-        by = need.astype(np.uint64) << np.uint64(5)
-        self.low <<= by
-        self.width <<= by
-
-
-def _grid(n_ids: int) -> int:
-    return -(-n_ids // BLOCK)
-
-
-def encode_group(ids: np.ndarray) -> list[bytes]:
-    """The coded blocks of at most BLOCK * GROUP ids below 2 ** 16; the last block is filled up with 0."""
-    n = _grid(len(ids))
-    grid = np.zeros((n, BLOCK), np.int32)
-    grid.reshape(-1)[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
-    model, range_ = _Model(n), _Range(n)
-    out = np.zeros((n, BLOCK + 4), "<u4")
-    first = np.arange(n) * (BLOCK + 4)
-    place, words = first.copy(), out.reshape(-1)
-    for x in grid if n else ():
-        id2, id1, id0 = model.predict()
-        same2, same1, same0 = id2 == x, id1 == x, id0 == x
-        slot = np.where(same2, 0, np.where(same1, 1, np.where(same0, 2, 3)))
-        range_.narrow(*model.interval(slot))
-        lost = slot == 3
-        range_.escape(lost, x * lost)
-        need = range_.short()
-        words[place] = range_.low >> _WORD  # written over by the next word where none is due
-        place += need
-        range_.shift(need)
-        model.learn(x, slot, same2, same1, same0)
-    for _ in range(2):
-        words[place] = range_.low >> _WORD
-        place += 1
-        range_.low <<= _WORD
-    return [out[i, :k].tobytes() for i, k in enumerate((place - first).tolist())]
-
-
-def decode_group(blocks: list[bytes], n_ids: int) -> np.ndarray:
-    n = _grid(n_ids)
-    if not n:
+            cell += _STEP.take(sure + (same << 3))
+            new = np.flatnonzero(~same & (sure <= 1))
+            cell[new] = fresh[new]
+            table[at] = cell
+        mixed = (self.at1 * 0x9E3779B1 + x * 0x85EBCA6B) & 0xFFFFFFFF
+        self.at1, self.at2 = x, (mixed ^ (mixed >> 15)) & ((1 << _CELL_BITS) - 1)
+        self.recent.append(x)
+        self.steps += 1
+        if self.steps >= self.next_refresh:
+            self._refresh()
+
+
+def _shape(n_ids: int) -> tuple[int, int]:
+    """Lanes and steps of a block: as many lanes as steps, or LANES in a long one."""
+    lanes = max(1, min(LANES, math.isqrt(n_ids)))
+    return lanes, -(-n_ids // lanes)
+
+
+def encode_block(ids: np.ndarray) -> bytes:
+    """One coded block of ids below 2 ** 16; the last lane is filled up with its first id.
+
+    The alphabet's size, then each lane's number of digits, then the lanes' digits.
+    """
+    lanes, steps = _shape(len(ids))
+    if not steps:
+        return b""
+    alphabet = int(ids.max()) + 1
+    grid = np.full(lanes * steps, int(ids[0]), np.int64)
+    grid[: len(ids)] = ids
+    model = _Model(lanes, alphabet)
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    # A step puts out two digits at most. Digits are kept wider than 16 bits until the carries are in.
+    room = 2 * steps + 1
+    digits = np.zeros(lanes * room, np.uint32)
+    first = np.arange(lanes) * room
+    place = first.copy()
+    for x in np.ascontiguousarray(grid.reshape(lanes, steps).T):
+        model.predict()
+        start, size = model.interval(x)
+        width >>= _TOTAL
+        before = low
+        low = low + width * start.view(np.uint64)
+        width *= size.view(np.uint64)
+        carried = np.flatnonzero(low < before)
+        digits[place[carried] - 1] += np.uint32(1)
+        short = np.flatnonzero(width < _WIDE)
+        while len(short):
+            part = low[short]
+            at = place[short]
+            digits[at] = part >> _TOP
+            place[short] = at + 1
+            low[short] = part << _DIGIT
+            part = width[short] << _DIGIT
+            width[short] = part
+            short = short[part < _WIDE]
+        model.learn(x)
+    # Any value of the last range will do: the least that ends in 48 zero bits.
+    before = low
+    low = low + (_WIDE - np.uint64(1))
+    carried = np.flatnonzero(low < before)
+    digits[place[carried] - 1] += np.uint32(1)
+    digits[place] = low >> _TOP
+    place += 1
+    over = np.flatnonzero(digits >> np.uint32(16))
+    while len(over):
+        digits[over] &= np.uint32(0xFFFF)
+        digits[over - 1] += np.uint32(1)
+        over = (over - 1)[digits[over - 1] >> np.uint32(16) > 0]
+    n = place - first
+    used = np.arange(room) < n[:, None]
+    head = np.array([alphabet, *n.tolist()], "<u4").tobytes()
+    return head + digits.reshape(lanes, room)[used].astype("<u2").tobytes()
+
+
+def decode_block(data: bytes, n_ids: int) -> np.ndarray:
+    """The ids of a coded block. Damage gives other ids or ValueError."""
+    lanes, steps = _shape(n_ids)
+    if not steps:
         return np.zeros(0, np.uint16)
-    size = max(len(b) for b in blocks) // 4 + 2
-    words = np.zeros((n, size), np.uint64)
-    for i, b in enumerate(blocks):
-        words[i, : len(b) // 4] = np.frombuffer(b, "<u4")
-    words, place = words.reshape(-1), np.arange(n) * size + 2
-    code = words[place - 2] << _WORD | words[place - 1]
-    grid, model, range_ = np.zeros((BLOCK, n), np.int32), _Model(n), _Range(n)
-    for step in range(BLOCK):
-        id2, id1, id0 = model.predict()
-        value = ((code - range_.low) // (range_.width >> _SIXTEEN)).view(np.int64)
-        slot = (value >= model.now[1]).astype(np.int64)
-        slot += value >= model.now[2]
-        slot += value >= model.now[3]
-        range_.narrow(*model.interval(slot))
-        lost = slot == 3
-        whole = ((code - range_.low) // (range_.width >> _SIXTEEN)).astype(np.int32)
-        x = np.where(lost, whole, np.where(slot == 0, id2, np.where(slot == 1, id1, id0)))
-        range_.escape(lost, x * lost)
-        need = range_.short()
-        code = np.where(need, code << _WORD | words[place], code)
-        place += need
-        range_.shift(need)
+    if len(data) < 4 * (lanes + 1):
+        raise ValueError("a block is cut short")
+    head = np.frombuffer(data, "<u4", lanes + 1).astype(np.int64)
+    alphabet, n = int(head[0]), head[1:]
+    if not 0 < alphabet <= 1 << 16 or len(data) != 4 * (lanes + 1) + 2 * int(n.sum()):
+        raise ValueError("the head of a block is damaged")
+    # Behind a lane's digits stand others, or zeros: the coder's last range holds any of them.
+    digits = np.concatenate([np.frombuffer(data, "<u2", offset=4 * (lanes + 1)), np.zeros(8, np.uint16)])
+    digits = digits.astype(np.uint64)
+    ends = np.cumsum(n)
+    place = ends - n
+    last = len(digits) - 1
+    code = np.zeros(lanes, np.uint64)
+    for k in range(4):
+        code = code << _DIGIT | np.where(place + k < ends, digits.take(place + k, mode="clip"), np.uint64(0))
+    place += 4
+    width = np.full(lanes, (1 << 64) - 1, np.uint64)
+    grid, model = np.empty((steps, lanes), np.uint16), _Model(lanes, alphabet)
+    most = (1 << _SHARE_BITS + _WEIGHT_BITS) - 1
+    for step in range(steps):
+        model.predict()
+        width >>= _TOTAL
+        x = model.find(np.minimum(code // width, np.uint64(most)).view(np.int64))
+        start, size = model.interval(x)
+        code -= width * start.view(np.uint64)
+        width *= size.view(np.uint64)
+        short = np.flatnonzero(width < _WIDE)
+        while len(short):
+            at = place[short]
+            more = np.where(at < ends[short], digits[np.minimum(at, last)], np.uint64(0))
+            code[short] = code[short] << _DIGIT | more
+            place[short] = at + 1
+            part = width[short] << _DIGIT
+            width[short] = part
+            short = short[part < _WIDE]
         grid[step] = x
-        model.learn(x, slot, id2 == x, id1 == x, id0 == x)
-    return np.ascontiguousarray(grid.T).reshape(-1)[:n_ids].astype(np.uint16)
+        model.learn(x)
+    return np.ascontiguousarray(grid.T).reshape(-1)[:n_ids]
 
 
 class FileWriter:
-    """Takes documents one by one; keeps at most one group of ids in memory."""
+    """Takes documents one by one; keeps at most one block of ids in memory."""
 
     def __init__(self, stream):
-        self.stream, self.groups, self.docs = stream, [], []
+        self.stream, self.blocks, self.docs = stream, [], []
         self.held: list[np.ndarray] = []
         self.n_held = self.n_ids = 0
         self.at = len(MAGIC)
@@ -207,35 +262,27 @@ class FileWriter:
             raise ValueError("token files hold 16-bit ids")
         self.docs.append((doc_id, len(ids)))
         self.n_ids += len(ids)
-        for start in range(0, len(ids), BLOCK * GROUP):
-            part = ids[start : start + BLOCK * GROUP]
-            if self.n_held + len(part) > BLOCK * GROUP:
-                room = BLOCK * GROUP - self.n_held
-                self._hold(part[:room])
+        while len(ids):
+            part = np.array(ids[: BLOCK - self.n_held], np.uint16)
+            self.held.append(part)
+            self.n_held += len(part)
+            ids = ids[len(part) :]
+            if self.n_held == BLOCK:
                 self._flush()
-                part = part[room:]
-            self._hold(part)
-
-    def _hold(self, part: np.ndarray) -> None:
-        self.held.append(np.array(part, np.uint16))
-        self.n_held += len(part)
 
     def _flush(self) -> None:
         if self.n_held:
             ids = np.concatenate(self.held)
-            blocks = encode_group(ids)
-            sums = [zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u2")) for k in range(len(blocks))]
-            table = np.array([[len(b) for b in blocks], sums], "<u4").tobytes()
-            payload = b"".join([table, *blocks])
+            payload = encode_block(ids)
             self.stream.write(payload)
-            self.groups.append((self.at, len(payload), len(ids)))
+            self.blocks.append((self.at, len(payload), len(ids), zlib.crc32(ids.astype("<u2"))))
             self.at += len(payload)
             self.held, self.n_held = [], 0
 
     def close(self) -> int:
         self._flush()
         ids = [d for d, _ in self.docs]
-        foot = json.dumps({"groups": self.groups, "docs": ids, "lengths": [n for _, n in self.docs]})
+        foot = json.dumps({"blocks": self.blocks, "docs": ids, "lengths": [n for _, n in self.docs]})
         packed = zlib.compress(foot.encode(), 1)
         self.stream.write(packed + len(packed).to_bytes(8, "little") + MAGIC)
         self.stream.close()
@@ -243,7 +290,7 @@ class FileWriter:
 
 
 def read_file(source):
-    """(doc_id, ids) of a file, group by group. A damaged block raises ValueError."""
+    """(doc_id, ids) of a file, block by block. A damaged block raises ValueError."""
     size = source.size()
     tail = bytes(source.read_at(8 + len(MAGIC), size - 8 - len(MAGIC)))
     if tail[8:] != MAGIC:
@@ -251,24 +298,19 @@ def read_file(source):
     n = int.from_bytes(tail[:8], "little")
     foot = json.loads(zlib.decompress(source.read_at(n, size - 8 - len(MAGIC) - n)))
 
-    def groups():
-        for at, length, n_ids in foot["groups"]:
-            payload = bytes(source.read_at(length, at))
-            n_blocks = -(-n_ids // BLOCK)
-            lengths, sums = np.frombuffer(payload[: 8 * n_blocks], "<u4").reshape(2, n_blocks)
-            ends = 8 * n_blocks + np.cumsum(lengths, dtype=np.int64)
-            ids = decode_group([payload[e - k : e] for e, k in zip(ends, lengths)], n_ids)
-            for k in range(n_blocks):
-                if zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u2")) != sums[k]:
-                    raise ValueError(f"block {k} of the group at {at} is damaged")
+    def blocks():
+        for at, length, n_ids, crc in foot["blocks"]:
+            ids = decode_block(bytes(source.read_at(length, at)), n_ids)
+            if zlib.crc32(ids.astype("<u2")) != crc:
+                raise ValueError(f"the block at {at} is damaged")
             yield ids
 
-    source_groups, held = groups(), np.zeros(0, np.uint16)
+    source_blocks, held = blocks(), np.zeros(0, np.uint16)
     for doc_id, length in zip(foot["docs"], foot["lengths"]):
         parts, missing = [], length
         while missing:
             if not len(held):
-                held = next(source_groups)
+                held = next(source_blocks)
             parts.append(held[:missing])
             held = held[missing:]
             missing -= len(parts[-1])

@@ -18,12 +18,69 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 @given(st.lists(st.integers(0, 65535), max_size=60), st.integers(1, 120), st.integers(1, 3000))
 def test_any_ids_come_back(pattern, repeats, cut):
     ids = np.array(pattern * repeats, np.int64)[:cut]
-    assert (range_coder.decode_group(range_coder.encode_group(ids), len(ids)) == ids).all()
+    assert (range_coder.decode_block(range_coder.encode_block(ids), len(ids)) == ids).all()
 
 
 def test_regular_ids_shrink():
     ids = np.tile(np.arange(50), 400)
-    assert sum(map(len, range_coder.encode_group(ids))) < len(ids) / 4
+    assert len(range_coder.encode_block(ids)) < len(ids) / 4
+
+
+def _entropy(ids):
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    return -(share * np.log2(share)).sum()
+
+
+def test_ids_drawn_alone_take_their_entropy():
+    """Nothing for orders 1 and 2 to find: order 0 must give each id its frequency, not one guess."""
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.zipf(1.3, 200_000), 3000)
+    coded = range_coder.encode_block(ids)
+    assert 8 * len(coded) / len(ids) < _entropy(ids) + 0.4
+    assert (range_coder.decode_block(coded, len(ids)) == ids).all()
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_ids_that_follow_others_take_less_than_their_entropy(order):
+    """Each id follows from the one or two before it, nine times in ten; alone, they look even."""
+    rng = np.random.default_rng(order)
+    n, kinds = 200_000, 40
+    noise, odd = rng.integers(0, kinds, n), rng.random(n) < 0.1
+    ids = noise.copy()
+    for i in range(2, n):
+        if not odd[i]:
+            ids[i] = (7 * ids[i - 1] + 3 + (order == 2) * 5 * ids[i - 2]) % kinds
+    coded = range_coder.encode_block(ids)
+    assert 8 * len(coded) / len(ids) < 0.4 * _entropy(ids)
+    assert (range_coder.decode_block(coded, len(ids)) == ids).all()
+
+
+def test_the_least_likely_ids_carry_through_all_digits():
+    """Ids at both ends of the alphabet, met after long runs of others, in one lane and in many."""
+    for n in (3, 50, 5000):
+        ids = np.zeros(n, np.int64)
+        ids[n // 2 :: 7] = 65535
+        ids[-1] = 65534
+        assert (range_coder.decode_block(range_coder.encode_block(ids), n) == ids).all()
+
+
+def test_files_of_real_documents_take_less_than_their_entropy(spark, make_docs, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    tok = Tokenizer.from_file(BYTES)
+    docs = [(r.doc_id, [*tok.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in rows]
+    path = str(tmp_path / "real.ids")
+    size = _write(docs, path)
+    ids = np.concatenate([d for _, d in docs])
+    assert 8 * size / len(ids) < 9
+    assert [(i, x.tolist()) for i, x in range_coder.read_file(pa.PythonFile(open(path, "rb")))] == docs
+
+
+def test_a_damaged_block_is_noticed_by_its_head_or_its_checksum():
+    ids = np.arange(1000) % 17
+    coded = range_coder.encode_block(ids)
+    for bad in (b"", coded[:-2], b"\0" * 4 + coded[4:], coded + b"\0\0"):
+        with pytest.raises(ValueError):
+            range_coder.decode_block(bad, len(ids))
 
 
 def _write(docs, path):
@@ -35,8 +92,8 @@ def _write(docs, path):
 
 
 def test_files_hold_documents_and_find_damage(tmp_path, monkeypatch):
-    monkeypatch.setattr(range_coder, "GROUP", 2)
-    monkeypatch.setattr(range_coder, "BLOCK", 64)
+    monkeypatch.setattr(range_coder, "LANES", 4)
+    monkeypatch.setattr(range_coder, "BLOCK", 128)
     rng = np.random.default_rng(0)
     docs = [(None, []), (3, [0]), (4, rng.integers(0, 50257, 1000).tolist()), (9, [7] * 128), (9, [65535])]
     path = str(tmp_path / "a.ids")
