@@ -30,6 +30,8 @@ from corpusloom.llm.common import materialise
 WINDOW, GRAM = 35, 8
 #: Bytes of a word from which on it is hashed as a whole.
 LONG_WORD = 32
+#: A key with more than one in this many rows of a join is hot. So fewer keys than this can be hot.
+HOT_KEYS = 4096
 _U = np.uint64
 
 
@@ -194,6 +196,18 @@ def _windows_at_factor_ends(packed: DataFrame, phrases_: DataFrame, window: int)
     return texts.mapInArrow(windows, kinds)
 
 
+def _join_by(rows: DataFrame, keys: DataFrame, on: list[str], places: str, total: int) -> DataFrame:
+    """Inner join without a hot task. keys: one row a key, with its number of `places` among `total` rows.
+
+    Hot keys, fewer than HOT_KEYS of them however large the input, are broadcast, so their rows stay where they
+    are. Only the others are shuffled.
+    """
+    hot = F.col(places) * HOT_KEYS > F.lit(total)
+    few, rest = F.broadcast(keys.filter(hot).drop(places)), keys.filter(~hot).drop(places)
+    others = rows.join(F.broadcast(keys.filter(hot).select(*on)), on, "left_anti")
+    return rows.join(few, on).unionByName(others.join(rest, on))
+
+
 def duplicate_spans(
     texts: DataFrame, packed: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -202,8 +216,8 @@ def duplicate_spans(
     anchors = index.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("places"), (F.min("phrase") != F.max("phrase")).alias("mixed")
     )
-    repeated = anchors.filter("places > 1").drop("places")
-    found = materialise(index.join(repeated, "anchor"), "repeated-phrases")
+    repeated = materialise(anchors.filter("places > 1"), "repeated-anchors")
+    found = materialise(_join_by(index, repeated, ["anchor"], "places", index.count()), "repeated-phrases")
     factor = ["doc_id", "text_key", F.col("first").alias("at"), "n"]
     # An anchor with one phrase at several places: the factors run on through all of them.
     through = found.filter(~F.col("mixed")).select(*factor)
@@ -216,13 +230,14 @@ def duplicate_spans(
         ),
         "phrase-kinds",
     )
-    copied = kinds.filter("copies > 1").select("anchor", "phrase")
-    whole = mixed.join(copied, ["anchor", "phrase"], "left_semi").select(*factor)
+    copied = kinds.filter("copies > 1").select("anchor", "phrase", "copies")
+    whole = _join_by(mixed, copied, ["anchor", "phrase"], "copies", index.count()).select(*factor)
     # A factor may end inside any phrase of such an anchor: compare the windows one by one.
     ends = kinds.select("place.*", "anchor", "copies")
     single = materialise(_windows_at_factor_ends(packed, ends, window), "windows-at-factor-ends")
-    twice = single.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    partly = single.filter("copies = 1").join(twice, ["anchor", "hash"], "left_semi")
+    twice = single.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
+    twice = materialise(twice, "repeated-windows")
+    partly = _join_by(single.filter("copies = 1"), twice, ["anchor", "hash"], "places", single.count())
     return through.union(whole).union(partly.select("doc_id", "text_key", "at", F.lit(1).alias("n")))
 
 

@@ -42,6 +42,30 @@ def test_planted_passages(make_docs):
     assert fast(make_docs(pairs)) == slow(pairs)
 
 
+def test_hot_and_other_keys_give_the_same_spans(make_docs, monkeypatch):
+    """A line that a third of all documents share, in contexts of their own, and rarer repeats beside it."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(9999)}"
+    line, rare = [word() for _ in range(60)], [[word() for _ in range(45)] for _ in range(12)]
+    pairs = []
+    for i in range(150):
+        words = [word() for _ in range(rng.randrange(30, 90))]
+        words[20:20] = line if i % 3 == 0 else rare[i % 12]
+        pairs.append((i, " ".join(words)))
+    docs, want = make_docs(pairs), slow(pairs)
+    for hot in (1, 8, 1 << 40):  # none, the shared line alone, all
+        monkeypatch.setattr(relative_lz, "HOT_KEYS", hot)
+        assert fast(docs) == want
+
+
+def test_hot_keys_are_joined_without_a_shuffle_of_their_rows(spark):
+    rows = spark.range(1000).selectExpr("if(id < 400, 7, id) AS k", "id AS v")
+    keys = rows.groupBy("k").count()
+    got = relative_lz._join_by(rows, keys.selectExpr("k", "count AS places"), ["k"], "places", 1000)
+    assert sorted(map(tuple, got.collect())) == sorted((7 if i < 400 else i, i) for i in range(1000))
+    assert got._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") >= 2
+
+
 def test_small_windows_on_few_words(make_docs):
     rng = random.Random(2)
     pairs = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(40)))) for i in range(40)]
