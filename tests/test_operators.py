@@ -330,6 +330,32 @@ def test_bpe_on_random_words(spark, how):
         assert bpe.unbracketed(r.symbols) == bpe.merge_symbols([names[b] for b in r.word.encode()], ranks)
 
 
+@pytest.mark.parametrize("scanned", [0, 1, 9, 40])
+def test_bpe_scans_hand_over_to_the_index(spark, scanned):
+    rng = random.Random(12)
+    words = {"".join(rng.choice("aab\u00e9 ") for _ in range(rng.randrange(1, 12))) for _ in range(100)}
+    counts = {w: rng.randrange(1, 6) for w in sorted(words)}
+    df = spark.createDataFrame(list(counts.items()), "token string, n bigint").repartition(3)
+    table, encoded = bpe.train_bpe(df, 60, scanned=scanned)
+    learned = [(r["left"], r["right"]) for r in table.orderBy("rank").collect()]
+    assert learned == naive_bpe(counts, 60)
+    ranks = {p: i for i, p in enumerate(learned)}
+    names = bpe.byte_alphabet()
+    got = {r.word: bpe.unbracketed(r.symbols) for r in encoded.collect()}
+    assert got == {w: bpe.merge_symbols([names[b] for b in w.encode()], ranks) for w in counts}
+
+
+def test_first_merges_list_no_word_under_its_pairs(spark, monkeypatch):
+    def listed(*_):
+        raise AssertionError("words listed under their pairs")
+
+    monkeypatch.setattr(bpe, "_Index", listed)
+    counts = {" the": 50, " then": 20, "aaaaa": 9, "aaa": 4, " hat": 3}
+    df = spark.createDataFrame(list(counts.items()), "token string, n bigint")
+    got = [(r["left"], r["right"]) for r in bpe.train_bpe(df, 9)[0].orderBy("rank").collect()]
+    assert got == naive_bpe(counts, 9)
+
+
 def test_bpe_without_words_or_pairs(spark):
     none = spark.createDataFrame([], "token string, n bigint")
     assert bpe.train_bpe(none, 5)[0].count() == 0
