@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -356,6 +357,30 @@ def test_first_merges_list_no_word_under_its_pairs(spark, monkeypatch):
     assert got == naive_bpe(counts, 9)
 
 
+@pytest.mark.parametrize("square", [1_000, 10])
+@pytest.mark.parametrize("order", [1, -1])
+def test_tokens_merged_together_equal_each_on_its_own(monkeypatch, square, order):
+    monkeypatch.setattr(bpe.Coder, "SQUARE", square)
+    rng = random.Random(13)
+    counts = {"".join(rng.choice("aab\u00e9 cd") for _ in range(rng.randrange(1, 20))): 1 for _ in range(100)}
+    # Backwards, a merge makes sides of earlier ones.
+    merges = tuple(naive_bpe(counts, 50))[::order]
+    coder = bpe.Coder(merges, (("<|bos|>", 400),))
+    texts = ["".join(rng.choice("aab<\u00e9 cdxz\U0001f600") for _ in range(rng.randrange(200))) for _ in range(200)]
+    for tokens in ([*counts, *texts, "<|bos|>", "", "a" * 300], [*counts], ["ab"], []):
+        ids, sizes = coder.encode(pa.array(tokens, pa.string()))
+        want = [coder._long(t) for t in tokens]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_short_tokens_are_not_merged_one_by_one(monkeypatch):
+    merges = (("t", "h"), ("th", "e"))
+    want = bpe.Coder(merges, ())._long("the")
+    monkeypatch.setattr(bpe, "merge_symbols", None)
+    ids, sizes = bpe.Coder(merges, ()).encode(pa.array(["the", "that"]))
+    assert ids[:1].tolist() == want and sizes.tolist() == [1, 3]
+
+
 def test_bpe_without_words_or_pairs(spark):
     none = spark.createDataFrame([], "token string, n bigint")
     assert bpe.train_bpe(none, 5)[0].count() == 0
