@@ -602,3 +602,21 @@ def test_language_model_in_many_parts(spark, sf_dir, monkeypatch):
         grams = [letters[ord_][i : i + 3] for i in range(len(letters[ord_] or "") - 2)]
         known = [g for g in grams if (whole.langs[0], g) in weights]
         assert scores == [sum(weights[x, g] for g in known) for x in whole.langs] + [len(known)]
+
+
+def test_full_report_scores_each_document_once(spark, monkeypatch):
+    from corpusloom.operators import quality
+
+    seen = []
+
+    def measured(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.withColumn("perplexity", F.lit(1.0))
+
+    monkeypatch.setattr(quality, "corpus_perplexity", measured)
+    monkeypatch.setattr(quality, "detect_language", lambda df, _: df.withColumn("lang", F.lit("EN")))
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (2, "c"), (None, None)], "ord bigint, text string")
+    toxic = spark.createDataFrame([("", 0), ("a", 5)], "token string, weight bigint")
+    report = {(r.section, r.name): r.value for r in quality.quality_report(docs, None, toxic, n=None).collect()}
+    assert report["sample", "samples_analyzed"] == 4 and report["language", "EN"] == 4
+    assert "Relation" in seen[0] and "Join" not in seen[0]
