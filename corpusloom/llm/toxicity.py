@@ -15,6 +15,7 @@ import functools
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -34,6 +35,8 @@ ROWS, WIDTH, GRAMS = 1 << 17, 3, (3, 4, 5)
 PASSES, ROW_STEP, SOFT_STEP, DECAY = 45, 0.06, 0.2, 3e-5
 #: A subword keeps a vector if so many texts have it; one text in CALIBRATE sets the threshold only.
 LEAST_TEXTS, CALIBRATE = 3, 5
+#: Values that the fit holds at once besides its arrays.
+CHUNK = 1 << 17
 #: Words whose sums a worker remembers.
 MEMO_WORDS = 150_000
 
@@ -63,6 +66,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * mean + self.offset, -40, 40)))
 
 
+def _row_sums(values: np.ndarray, at: np.ndarray, to: np.ndarray, size: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """Sums rows `at` of the values into rows `to`, one after the other, a chunk at a time."""
+    out = np.zeros((values.shape[1], size))
+    for begin in range(0, len(at), CHUNK):
+        part = slice(begin, begin + CHUNK)
+        taken, into = values.take(at[part], 0), to[part].astype(np.intp)
+        if weight is not None:
+            taken *= weight[part, None]
+        for k in range(len(out)):
+            np.add.at(out[k], into, np.ascontiguousarray(taken[:, k]))
+    return np.ascontiguousarray(out.T)
+
+
 def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> Model:
     """share: of toxic texts among all labelled ones, which the sample need not have."""
     y = np.array(toxic, float)
@@ -72,28 +88,34 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> Mode
     each = []
     for text in texts:
         own = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(text)], np.int32)
-        each.append(np.unique(own, return_counts=True))
-    grams = [np.array(subwords(w), np.int32) for w in vocabulary]
-    n_grams = np.array([len(g) for g in grams], np.int64)
-    gram_of, word_of = np.concatenate(grams), np.repeat(np.arange(len(grams), dtype=np.int32), n_grams)
+        which, times = np.unique(own, return_counts=True)
+        each.append((which, times.astype(np.int32)))
+    flat, ends = array("i"), array("i", [0])
+    for w in vocabulary:
+        flat.extend(subwords(w))
+        ends.append(len(flat))
+    del vocabulary
+    gram_of, ends = np.array(flat, np.int32), ends.tolist()
+    n_grams = np.diff(np.array(ends, np.int64))
+    word_of = np.repeat(np.arange(len(n_grams), dtype=np.int32), n_grams)
+    del flat
     # Subwords of one or two texts tell texts apart, not classes; common ones tell little.
     texts_with = np.zeros(ROWS, np.int64)
     for which, _ in each:
         if len(which):
-            texts_with[np.unique(np.concatenate([grams[w] for w in which.tolist()]))] += 1
+            texts_with[np.unique(np.concatenate([gram_of[ends[w] : ends[w + 1]] for w in which.tolist()]))] += 1
     n = len(texts)
     kept = texts_with >= LEAST_TEXTS
     scale = np.where(kept, np.log(n / np.maximum(texts_with, 1)) + 1e-3, 0.0)
-    del grams
+    del ends
     word = np.concatenate([w for w, _ in each])
     times = np.log1p(np.concatenate([t for _, t in each]))
     doc = np.repeat(np.arange(n, dtype=np.int32), [len(w) for w, _ in each])
-    total = np.bincount(doc, times * n_grams[word], n)
-    part = times / np.maximum(total, 1)[doc]  # of a word's sum in its document's average
-
-    def gather(values: np.ndarray, at: np.ndarray, to: np.ndarray, size: int, weight=1.0) -> np.ndarray:
-        """Sums rows `at` of the values into rows `to`."""
-        return np.stack([np.bincount(to, values[at, k] * weight, size) for k in range(values.shape[1])], 1)
+    del each
+    total = _row_sums(n_grams[:, None].astype(float), word, doc, n, times)[:, 0]
+    part = times  # of a word's sum in its document's average
+    for begin in range(0, len(part), CHUNK):
+        part[begin : begin + CHUNK] /= np.maximum(total, 1)[doc[begin : begin + CHUNK]]
 
     rng = np.random.default_rng(seed)
     rows = rng.uniform(-0.1 / WIDTH, 0.1 / WIDTH, (ROWS, WIDTH))
@@ -109,7 +131,7 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> Mode
     judged = checks * np.where(y == 1, 0.5 / y[checks].sum(), 0.5 / (1 - y[checks]).sum())
     best, logit, mean_of = math.inf, np.zeros(ROWS), np.zeros(n)
     for step in range(1, PASSES + 1):
-        mean = gather(gather(rows * scale[:, None], gram_of, word_of, len(n_grams)), word, doc, n, part)
+        mean = _row_sums(_row_sums(rows * scale[:, None], gram_of, word_of, len(n_grams)), word, doc, n, part)
         logits = mean @ soft + bias
         chance = np.exp(logits - logits.max(1, keepdims=True))
         chance /= chance.sum(1, keepdims=True)
@@ -119,9 +141,9 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> Mode
             best, logit = loss, (rows * scale[:, None]) @ (soft[:, 1] - soft[:, 0])
             mean_of = mean @ (soft[:, 1] - soft[:, 0])
         error = (chance - target) * weight[:, None]
-        down = gather(error @ soft.T, doc, word, len(n_grams), part)
+        down = _row_sums(error @ soft.T, doc, word, len(n_grams), part)
         slopes = (
-            gather(down, word_of, gram_of, ROWS) * scale[:, None] + DECAY * rows,
+            _row_sums(down, word_of, gram_of, ROWS) * scale[:, None] + DECAY * rows,
             mean.T @ error + 1e-4 * soft, error.sum(0),
         )
         for value, slope, (first, second) in zip((rows, soft, bias), slopes, state):

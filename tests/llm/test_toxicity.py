@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+
 from corpusloom.llm import toxicity
 
 BAD = ["zorgle", "blamfit", "krunto"]
@@ -65,3 +68,24 @@ def test_odd_rows(spark, make_docs, odd_pairs):
     got = toxicity.score_documents(docs, toxicity.train(docs, none)).collect()
     assert len(got) == len(odd_pairs) and all(0 <= r.score < 0.5 and r.predicted == 0 for r in got)
     assert toxicity.score_documents(make_docs([]), toxicity.train(make_docs([]), none)).collect() == []
+
+
+def test_sums_in_chunks_are_those_of_one_pass(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    rng = np.random.default_rng(3)
+    values, weight = rng.normal(size=(40, 3)), rng.uniform(size=500)
+    at, to = rng.integers(0, 40, 500).astype(np.int32), rng.integers(0, 11, 500).astype(np.int32)
+    for w in (None, weight):
+        each = [np.bincount(to, values[at, k] * (1.0 if w is None else w), 12) for k in range(3)]
+        assert (toxicity._row_sums(values, at, to, 12, w) == np.stack(each, 1)).all()
+
+
+def test_fit_holds_little_besides_its_arrays(monkeypatch):
+    monkeypatch.setattr(toxicity, "PASSES", 1)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(np.base_repr(w, 36) for w in rng.integers(10**9, 10**9 + 30_000, 2_000)) for _ in range(200)]
+    tracemalloc.start()
+    toxicity.fit(texts, [i % 2 for i in range(200)], 0.1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000
