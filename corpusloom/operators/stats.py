@@ -14,6 +14,7 @@ from corpusloom.functions import fixed_values as fx
 from corpusloom.functions.text import strip_space
 from corpusloom.operators.language import LanguageModel, detect_language
 from corpusloom.operators.sample import first_n, sample_n
+from corpusloom.session import materialise
 
 
 def length_counts(lengths: DataFrame) -> DataFrame:
@@ -85,9 +86,9 @@ def top_keys(keys: DataFrame, n: int = 10) -> DataFrame:
 def histogram(lengths: DataFrame, bins: int = 100) -> DataFrame:
     """(bin, low, high, docs): equal bins from min to max, the last one closed.
 
-    Bins are numbered from 1; empty bins are included.
+    Bins are numbered from 1; empty bins are included. The lengths are worked out once.
     """
-    counts = length_counts(lengths).filter(F.col("length").isNotNull())
+    counts = materialise(length_counts(lengths), "length-counts").filter(F.col("length").isNotNull())
     low, high = counts.agg(F.min("length"), F.max("length")).first()
     if low is None:
         low, high = 0, 0

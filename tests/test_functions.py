@@ -2,6 +2,8 @@
 
 import hashlib
 import html
+import itertools
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +133,17 @@ def test_simhash_pieces(spark):
     want = [int.from_bytes(hashlib.md5(t.encode()).digest()[8:], "big", signed=True) for t in texts]
     assert run(spark, texts, hs.low_md5) == want
     assert run(spark, texts, hs.doc_hash) == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
+def test_strong_code_lines_are_those_of_one_pattern(spark):
+    """Fence markers, the strong patterns and keywords that no word character touches, as one alternation."""
+    word, first = f"[{fx.WORD_CLASS}]", [re.escape(m) for m in fx.FENCE_MARKERS] + fx.STRONG_CODE
+    plain = [w for w in fx.CODE_KEYWORDS if not w.startswith("#")]
+    every = "|".join([*first, rf"(?<!{word})(?:{'|'.join(plain)})(?!{word})", rf"(?<={word})(?:#include)(?!{word})"])
+    parts = ["class", "x", " ", "_", "#include", "a#include <x>", "new", "é", "1", "\U0001d400", ";", "{", " a b =c", "==", "```", "--", "def f(", "import z", "let"]
+    lines = [("".join(p).strip(),) for p in itertools.product(parts, repeat=3) if "".join(p).strip()]
+    df = spark.createDataFrame(lines, "line string")
+    got = df.select("line", (dt.code_fraction_strong(F.col("line")) > 0).alias("a"), F.rlike("line", F.lit(every)).alias("b"))
+    assert got.filter("a != b").collect() == []
+    # One test for all would try every keyword at every place of a line.
+    assert "(?<!" not in dt._KEYWORD_INSIDE and len(dt._AT_START) < len(every)

@@ -620,3 +620,33 @@ def test_full_report_scores_each_document_once(spark, monkeypatch):
     report = {(r.section, r.name): r.value for r in quality.quality_report(docs, None, toxic, n=None).collect()}
     assert report["sample", "samples_analyzed"] == 4 and report["language", "EN"] == 4
     assert "Relation" in seen[0] and "Join" not in seen[0]
+
+
+def test_histogram_works_out_lengths_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def length(i):
+        seen.add(1)
+        return i % 7
+
+    df = spark.range(50).select(length("id").alias("length"))
+    assert sum(r.docs for r in stats.histogram(df, 5).collect()) == 50
+    assert seen.value == 50
+
+
+def test_buckets_of_a_small_table_are_placed_by_several_tasks(spark):
+    lengths = spark.createDataFrame([(i, 5 + i % 11) for i in range(400)], "ord long, length int")
+    plan = packing.plan_blocks(lengths, 32, 64, 4)
+    placed = packing.place_docs(plan)
+    assert placed.count() == 400 and placed.rdd.getNumPartitions() > 1
+    with_rows = placed.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert with_rows > 1
+
+
+def test_special_tokens_are_cut_out_wherever_they_stand(spark):
+    texts = ["a <|pad|>b", "<|bos|><|eos|>", "<|pad|", "x <|unk|> <|unk|>", "no", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(tk.pretokens(F.col("t"))).collect()]
+    assert got[0] == ["a", " ", "<|pad|>", "b"] and got[1] == ["<|bos|>", "<|eos|>"] and got[3].count("<|unk|>") == 2
+    assert ["".join(g) for g in got] == texts
