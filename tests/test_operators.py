@@ -650,3 +650,58 @@ def test_special_tokens_are_cut_out_wherever_they_stand(spark):
     got = [r[0] for r in df.select(tk.pretokens(F.col("t"))).collect()]
     assert got[0] == ["a", " ", "<|pad|>", "b"] and got[1] == ["<|bos|>", "<|eos|>"] and got[3].count("<|unk|>") == 2
     assert ["".join(g) for g in got] == texts
+
+
+def test_pretokens_of_the_pattern_in_arrays(spark):
+    """Tokens as the pattern cuts them, in chunks of any size; counts of them without a row per token."""
+    import regex
+
+    from corpusloom.functions import pretokenise
+
+    space = fixed.SPACE_CLASS.replace(r"\x1c-\x20", r"\x20")
+    pattern = regex.compile(
+        rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+    some = random.Random(7)
+    signs = list("''''  \t\nstdmlrvea1.\u00e9\u0301\u00a0\u3000\x85\u0663\u4e2d\U0001f600\u00bd,\x1c")
+    texts = ["".join(some.choices(signs, k=some.randint(0, 14))) for _ in range(20_000)]
+    want = [pattern.findall(t) for t in texts]
+    before = pretokenise.CHUNK
+    try:
+        for pretokenise.CHUNK in (50, before):
+            tokens, sizes = pretokenise.cut(pa.array(["x", *texts]).slice(1), [])
+            assert sizes.tolist() == [len(w) for w in want]
+            assert tokens.to_pylist() == [token for w in want for token in w]
+    finally:
+        pretokenise.CHUNK = before
+    tokens, sizes = pretokenise.cut(pa.array(["a b", "", "<|bos|>"]), ["<|bos|>"])
+    assert tokens.to_pylist() == ["a", " b", "<|bos|>"] and sizes.tolist() == [2, 0, 1]
+    df = spark.createDataFrame([(1, "it's<|bos|>it's"), (2, None), (3, " "), (4, "ité it")], "ord long, text string")
+    counts = tk.pretoken_counts(df)
+    assert {r.token: r.n for r in counts.collect()} == {"it": 2, "'s": 2, "ité": 1, " it": 1}
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    got = df.select("ord", tk.pretokens(F.col("text")).alias("p")).orderBy("ord").collect()
+    assert [r.p for r in got] == [["it", "'s", "<|bos|>", "it", "'s"], None, [" "], ["ité", " it"]]
+
+
+def test_large_tables_of_few_row_groups_are_dealt_out(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one/documents.parquet")
+    rows.repartition(32).write.parquet(f"{tmp_path}/many/documents.parquet")
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1)
+
+    def dealt(folder):
+        docs = tables.documents(spark, f"{tmp_path}/{folder}")
+        assert docs.count() == 1000
+        return "RepartitionByExpression" in docs._jdf.queryExecution().optimizedPlan().toString()
+
+    assert dealt("one") and not dealt("many")
+
+
+def test_shard_files_are_read_once(spark, sf_dir, monkeypatch):
+    from corpusloom.plans import registry
+
+    read, calls = sharding.read_shards, []
+    monkeypatch.setattr(sharding, "read_shards", lambda *a: calls.append(a) or read(*a))
+    shards = registry.all_queries()["shards_roundtrip"](spark, sf_dir).collect()
+    assert len(calls) == 1 and all(r.files == 1 and r.tokens == r.blocks * fixed.BLOCK_SIZE for r in shards)
