@@ -30,10 +30,10 @@ from corpusloom.llm.common import id_text, materialise, open_shared, shared_fold
 from corpusloom.llm.token_ids import tokenizer
 
 #: Ids per block and lanes of a full one.
-BLOCK, LANES = 1 << 22, 2048
+BLOCK, LANES = 1 << 22, 4096
 #: Chunks that a writing task remembers, more than elsewhere: it does little else with its memory.
 MEMO_CHUNKS = 900_000
-MAGIC = b"CLRC2\n"
+MAGIC = b"CLRC3\n"
 
 # Bits of an order-0 share and of a mixing weight; together 32, so that a mixed share needs no rounding.
 _SHARE_BITS, _WEIGHT_BITS = 22, 10
@@ -43,7 +43,8 @@ _CONTEXTS = 2 * (_SURE + 1) ** 2
 _RUN = 32  # shares per entry of the table that finds an id by its share
 _CELL_BITS = 20  # rows of the order-2 table
 # What a miss or a hit (+ 8) adds to a cell; one that is not sure is set anew on a miss.
-_STEP = np.array([0, 0, *[-1] * (_SURE - 1), *[1] * _SURE, 0], np.int64)
+_STEP = np.array([0, 0, *[-1] * (_SURE - 1), *[1] * _SURE, 0], np.int32)
+_EMPTY, _CELL_MASK = -8, np.uint32((1 << _CELL_BITS) - 1)
 _TOTAL, _DIGIT = np.uint64(_SHARE_BITS + _WEIGHT_BITS), np.uint64(16)
 _TOP, _WIDE = np.uint64(48), np.uint64(1 << 48)
 
@@ -52,9 +53,10 @@ class _Model:
     """The three predictors of a block of `n` lanes, their mixture, and what they learn from a step."""
 
     def __init__(self, n: int, alphabet: int):
-        self.order1 = np.zeros(1 << 16, np.int64)  # cells: (id + 1) * 8 + confidence; empty: 0
-        self.order2 = np.zeros(1 << _CELL_BITS, np.int64)
-        self.at1, self.at2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        # Cells: id * 8 + confidence. What is looked up at random is kept narrow, for the processor's caches.
+        self.order1 = np.full(1 << 16, _EMPTY, np.int32)
+        self.order2 = np.full(1 << _CELL_BITS, _EMPTY, np.int32)
+        self.at1, self.at2 = np.zeros(n, np.int32), np.zeros(n, np.int64)
         self.counts = np.zeros(alphabet, np.int64)
         self.hits = np.zeros((_CONTEXTS, 4), np.int64)
         self.steps, self.next_refresh, self.recent = 0, 0, []
@@ -70,12 +72,9 @@ class _Model:
         # New ids get the share of steps that brought one, as far as it goes round.
         least = max(1, total * (kinds or 1) // (seen + kinds or 1) // size)
         share = least + self.counts * (total - least * size) // max(seen, 1)
-        self.edges = np.concatenate([[0], np.cumsum(share)])
+        self.edges = np.concatenate([[0], np.cumsum(share)]).astype(np.int32)
         self.edges[-1] = total
-        self.share = np.diff(self.edges)
-        # The last id that starts at or before each run of shares.
-        runs = np.bincount((self.edges[1:-1] + _RUN - 1) // _RUN, minlength=total // _RUN + 1)
-        self.at_run = np.cumsum(runs)
+        self.at_run = None
         free = (1 << _WEIGHT_BITS) - _LEAST_WEIGHT
         tried = self.hits.sum(axis=1) + 2
         self.weight2 = free * self.hits[:, 2:].sum(axis=1) // tried
@@ -88,16 +87,20 @@ class _Model:
     def predict(self) -> None:
         """The ids named by orders 1 and 2 (-1: none), and the masses of all three orders."""
         self.cell1, self.cell2 = self.order1.take(self.at1), self.order2.take(self.at2)
-        self.id1, self.id2 = (self.cell1 >> 3) - 1, (self.cell2 >> 3) - 1
+        self.id1, self.id2 = self.cell1 >> 3, self.cell2 >> 3
         self.sure1, self.sure2 = self.cell1 & 7, self.cell2 & 7
-        self.context = ((self.id1 == self.id2) << 6) + (self.sure2 << 3) + self.sure1
+        agree = (self.id1 == self.id2).view(np.int8) << np.int8(6)
+        self.context = (self.sure2 << 3) + self.sure1 + agree
         self.mass0 = self.weight0.take(self.context)
         self.mass1, self.mass2 = self.weight1.take(self.context), self.weight2.take(self.context)
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of x in the mixed distribution."""
-        start = self.mass0 * self.edges.take(x) + self.mass1 * (self.id1 < x) + self.mass2 * (self.id2 < x)
-        width = self.mass0 * self.share.take(x) + self.mass1 * (self.id1 == x) + self.mass2 * (self.id2 == x)
+        edge = self.edges.take(x)
+        share = self.edges.take(x + 1) - edge
+        self.same1, self.same2 = self.id1 == x, self.id2 == x
+        start = self.mass0 * edge + self.mass1 * (self.id1 < x) + self.mass2 * (self.id2 < x)
+        width = self.mass0 * share + self.mass1 * self.same1 + self.mass2 * self.same2
         return start, width
 
     def find(self, value: np.ndarray) -> np.ndarray:
@@ -105,34 +108,40 @@ class _Model:
         start1 = self.mass0 * self.edges.take(self.id1, mode="wrap") + self.mass2 * (self.id2 < self.id1)
         start2 = self.mass0 * self.edges.take(self.id2, mode="wrap") + self.mass1 * (self.id1 < self.id2)
         past1, past2 = value >= start1 + self.mass1, value >= start2 + self.mass2
-        inner = (value - self.mass1 * past1 - self.mass2 * past2) // self.mass0
-        np.minimum(inner, (1 << _SHARE_BITS) - 1, out=inner)  # where order 1 or 2 has the value
-        x = self.at_run.take(inner // _RUN)
+        held1, held2 = (value >= start1) > past1, (value >= start2) > past2
+        inner = ((value - self.mass1 * past1 - self.mass2 * past2) // self.mass0).astype(np.int32)
+        np.putmask(inner, held1 | held2, 0)
+        if self.at_run is None:
+            # The last id that starts at or before each run of shares.
+            runs = np.bincount((self.edges[1:-1] + _RUN - 1) // _RUN, minlength=(1 << _SHARE_BITS) // _RUN + 1)
+            self.at_run = np.cumsum(runs).astype(np.uint16)
+        x = self.at_run.take(inner // _RUN).astype(np.int32)
         for _ in range(2):
             x += self.edges.take(x + 1) <= inner
         far = np.flatnonzero(self.edges.take(x + 1) <= inner)
         if len(far):
             x[far] = np.searchsorted(self.edges, inner[far], "right") - 1
-        x = np.where((value >= start1) & ~past1, self.id1, x)
-        return np.where((value >= start2) & ~past2, self.id2, x)
+        np.putmask(x, held1, self.id1)
+        np.putmask(x, held2, self.id2)
+        return x
 
     def learn(self, x: np.ndarray) -> None:
-        """Lanes that meet in one cell: the last of them sets it."""
-        same1, same2 = self.id1 == x, self.id2 == x
+        """After `interval` of the same ids. Lanes that meet in one cell: the last of them sets it."""
         # Outcomes 0: neither order had it, 1: order 1 alone, 2 and 3: order 2.
-        outcome = (self.context << 2) + same1 + (same2 << 1)
+        same1, same2 = self.same1.view(np.int8), self.same2.view(np.int8)
+        outcome = (self.context << 2) + (same1 + (same2 << np.int8(1)))
         self.hits += np.bincount(outcome, minlength=4 * _CONTEXTS).reshape(-1, 4)
-        fresh = ((x + 1) << 3) + 1
+        fresh = (x << 3) + 1
         for table, at, cell, sure, same in (
             (self.order1, self.at1, self.cell1, self.sure1, same1),
             (self.order2, self.at2, self.cell2, self.sure2, same2),
         ):
-            cell += _STEP.take(sure + (same << 3))
-            new = np.flatnonzero(~same & (sure <= 1))
-            cell[new] = fresh[new]
+            state = sure + (same << np.int8(3))
+            cell += _STEP.take(state)
+            np.putmask(cell, state <= 1, fresh)
             table[at] = cell
-        mixed = (self.at1 * 0x9E3779B1 + x * 0x85EBCA6B) & 0xFFFFFFFF
-        self.at1, self.at2 = x, (mixed ^ (mixed >> 15)) & ((1 << _CELL_BITS) - 1)
+        mixed = self.at1.view(np.uint32) * np.uint32(0x9E3779B1) + x.view(np.uint32) * np.uint32(0x85EBCA6B)
+        self.at1, self.at2 = x, ((mixed ^ (mixed >> np.uint32(15))) & _CELL_MASK).astype(np.int64)
         self.recent.append(x)
         self.steps += 1
         if self.steps >= self.next_refresh:
@@ -140,8 +149,8 @@ class _Model:
 
 
 def _shape(n_ids: int) -> tuple[int, int]:
-    """Lanes and steps of a block: as many lanes as steps, or LANES in a long one."""
-    lanes = max(1, min(LANES, math.isqrt(n_ids)))
+    """Lanes and steps of a block: four times as many lanes as steps, or LANES in a long one."""
+    lanes = max(1, min(LANES, math.isqrt(4 * n_ids)))
     return lanes, -(-n_ids // lanes)
 
 
@@ -154,15 +163,15 @@ def encode_block(ids: np.ndarray) -> bytes:
     if not steps:
         return b""
     alphabet = int(ids.max()) + 1
-    grid = np.full(lanes * steps, int(ids[0]), np.int64)
+    grid = np.full(lanes * steps, int(ids[0]), np.int32)
     grid[: len(ids)] = ids
     model = _Model(lanes, alphabet)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     # A step puts out two digits at most. Digits are kept wider than 16 bits until the carries are in.
+    # Lanes are about as far on, so their next digits are kept side by side.
     room = 2 * steps + 1
     digits = np.zeros(lanes * room, np.uint32)
-    first = np.arange(lanes) * room
-    place = first.copy()
+    place = np.arange(lanes)
     for x in np.ascontiguousarray(grid.reshape(lanes, steps).T):
         model.predict()
         start, size = model.interval(x)
@@ -171,13 +180,20 @@ def encode_block(ids: np.ndarray) -> bytes:
         low = low + width * start.view(np.uint64)
         width *= size.view(np.uint64)
         carried = np.flatnonzero(low < before)
-        digits[place[carried] - 1] += np.uint32(1)
+        digits[place[carried] - lanes] += np.uint32(1)
+        # One digit of all lanes that have one; where none is due, the next one overwrites it.
+        due = width < _WIDE
+        digits[place] = low >> _TOP
+        place += due * np.int64(lanes)
+        shift = due.view(np.uint8) * _DIGIT
+        low <<= shift
+        width <<= shift
         short = np.flatnonzero(width < _WIDE)
         while len(short):
             part = low[short]
             at = place[short]
             digits[at] = part >> _TOP
-            place[short] = at + 1
+            place[short] = at + lanes
             low[short] = part << _DIGIT
             part = width[short] << _DIGIT
             width[short] = part
@@ -187,18 +203,18 @@ def encode_block(ids: np.ndarray) -> bytes:
     before = low
     low = low + (_WIDE - np.uint64(1))
     carried = np.flatnonzero(low < before)
-    digits[place[carried] - 1] += np.uint32(1)
+    digits[place[carried] - lanes] += np.uint32(1)
     digits[place] = low >> _TOP
-    place += 1
+    n = place // lanes + 1
+    digits = digits[: lanes * int(n.max())]
     over = np.flatnonzero(digits >> np.uint32(16))
     while len(over):
         digits[over] &= np.uint32(0xFFFF)
-        digits[over - 1] += np.uint32(1)
-        over = (over - 1)[digits[over - 1] >> np.uint32(16) > 0]
-    n = place - first
-    used = np.arange(room) < n[:, None]
+        digits[over - lanes] += np.uint32(1)
+        over = (over - lanes)[digits[over - lanes] >> np.uint32(16) > 0]
+    used = np.arange(len(digits) // lanes) < n[:, None]
     head = np.array([alphabet, *n.tolist()], "<u4").tobytes()
-    return head + digits.reshape(lanes, room)[used].astype("<u2").tobytes()
+    return head + digits.astype("<u2").reshape(-1, lanes).T[used].tobytes()
 
 
 def decode_block(data: bytes, n_ids: int) -> np.ndarray:
@@ -214,13 +230,12 @@ def decode_block(data: bytes, n_ids: int) -> np.ndarray:
         raise ValueError("the head of a block is damaged")
     # Behind a lane's digits stand others, or zeros: the coder's last range holds any of them.
     digits = np.concatenate([np.frombuffer(data, "<u2", offset=4 * (lanes + 1)), np.zeros(8, np.uint16)])
-    digits = digits.astype(np.uint64)
     ends = np.cumsum(n)
     place = ends - n
     last = len(digits) - 1
     code = np.zeros(lanes, np.uint64)
     for k in range(4):
-        code = code << _DIGIT | np.where(place + k < ends, digits.take(place + k, mode="clip"), np.uint64(0))
+        code = code << _DIGIT | np.where(place + k < ends, digits.take(place + k, mode="clip"), np.uint16(0))
     place += 4
     width = np.full(lanes, (1 << 64) - 1, np.uint64)
     grid, model = np.empty((steps, lanes), np.uint16), _Model(lanes, alphabet)
@@ -232,10 +247,16 @@ def decode_block(data: bytes, n_ids: int) -> np.ndarray:
         start, size = model.interval(x)
         code -= width * start.view(np.uint64)
         width *= size.view(np.uint64)
+        due = width < _WIDE
+        more = digits.take(place, mode="clip") * (due & (place < ends))
+        shift = due.view(np.uint8) * _DIGIT
+        code = code << shift | more
+        width <<= shift
+        place += due
         short = np.flatnonzero(width < _WIDE)
         while len(short):
             at = place[short]
-            more = np.where(at < ends[short], digits[np.minimum(at, last)], np.uint64(0))
+            more = np.where(at < ends[short], digits[np.minimum(at, last)], np.uint16(0))
             code[short] = code[short] << _DIGIT | more
             place[short] = at + 1
             part = width[short] << _DIGIT
@@ -334,13 +355,13 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 0, par
     def write(batches):
         tok, writer = tokenizer(tokenizer_path, MEMO_CHUNKS), None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tok.arrays(batch.column(1), end_id)):
                 if writer is None:
                     part, path = batch.column(2)[0].as_py(), f"{folder}/{uuid.uuid4().hex}.ids"
                     system, place = open_shared(path)
                     system.create_dir(place.rsplit("/", 1)[0], recursive=True)
                     writer = FileWriter(system.open_output_stream(place, compression=None))
-                writer.add(doc_id.as_py(), tok.array(text.as_py(), end_id))
+                writer.add(doc_id, ids)
         if writer is not None:
             n_bytes = writer.close()
             columns = [[part], [path], [writer.n_ids], [n_bytes]]

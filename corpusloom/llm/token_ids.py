@@ -3,7 +3,8 @@
 A text is cut only where the tokenizer's own pattern always cuts; each distinct chunk is encoded
 once per worker and remembered, up to a bounded number of chunks. Equal to encoding the whole text.
 Special tokens that stand in a text as literals get their own ids, as the library has it, or are
-ordinary text where the caller asks for that.
+ordinary text where the caller asks for that. `arrays` cuts many texts at once by array operations over
+their bytes, and looks each distinct chunk up once.
 """
 
 from __future__ import annotations
@@ -14,8 +15,11 @@ import re
 import unicodedata
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks that a worker remembers; beyond them it starts again.
 MEMO_CHUNKS = 400_000
@@ -30,6 +34,47 @@ _ONE = re.compile(rf" ?{_PLAIN}|{_MARKS}")
 # White space for Python, but not for the tokenizers; a sigma's lower case depends on its place.
 _ODD = re.compile("[\x1c-\x1fΣ]")
 
+#: Bytes of texts that are cut together.
+TOGETHER = 8_000_000
+# Classes of bytes. Next to GLUE, bytes of characters beyond the first letters of Latin-1, only white space cuts.
+_GLUE, _SPACE, _LETTER, _DIGIT, _OTHER = range(5)
+_CLASSES = bytes(
+    _GLUE
+    if b >= 0x80
+    else _SPACE
+    if chr(b) in " \t\n\v\f\r"
+    else _LETTER
+    if chr(b).isalpha()
+    else _DIGIT
+    if chr(b).isdigit()
+    else _OTHER
+    for b in range(256)
+)
+# Texts that hold one of these are not cut by bytes: other white space, and what one side alone takes for it.
+_UNCUT = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+
+
+def _starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether a chunk starts at each byte of texts that end at ends[1:], for a byte-level pre-tokenizer.
+
+    Only where the published pattern cuts whatever stands around: where letters, digits and others meet, but
+    not behind an apostrophe, and where white space starts. Its last blank goes to what follows.
+    """
+    kind = np.frombuffer(bytearray(data.tobytes().translate(_CLASSES)), np.uint8)
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] & 0xDF) != 0x97]  # all of U+00C0 to U+00FF are letters but the two signs
+    kind[lead] = kind[lead + 1] = _LETTER
+    first = np.zeros(len(data) + 1, bool)
+    first[ends[:-1]] = True
+    first = first[: len(data)]
+    space, glue, out = kind == _SPACE, kind == _GLUE, first.copy()
+    held = glue[:-1] | glue[1:] | space[:-1] | (data[:-1] == 0x27)
+    out[1:] |= (kind[1:] != kind[:-1]) & (~held | space[1:])
+    after = np.flatnonzero(space[:-1] & ~space[1:] & ~first[1:]) + 1
+    out[after - 1] = True
+    out[after[data[after - 1] != 0x20]] = True
+    return out
+
 
 def _byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest from 256 on."""
@@ -53,6 +98,8 @@ class TokenIds:
         self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
         self._code, self._tokenize = self.dtype.char, self._tok.model.tokenize
         self._letters = str.maketrans(_byte_letters())
+        literal = ["".join(f"\\x{{{ord(c):x}}}" for c in token) for token in self._special]
+        self._uncut = "|".join([_UNCUT, *literal])
         self._spaced = self._tok.normalizer is None
         memo = _Memo(self._encode, memo_chunks)
         self._get, self._chunks = memo.__getitem__, (_SPACED_CHUNK if self._spaced else _CHUNK).findall
@@ -89,6 +136,48 @@ class TokenIds:
             out[-1] = end
         return out
 
+    def arrays(self, texts: pa.Array, end: int | None = None) -> Iterator[np.ndarray]:
+        """What `array` gives for each of the texts (none of them null)."""
+        if not self._spaced or not len(texts):
+            yield from (self.array(text, end) for text in texts.to_pylist())
+            return
+        texts = texts.cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + TOGETHER, "right")) - 1)
+            ids, places = self._together(texts[at:stop], ends[at : stop + 1])
+            for start, after in zip(places[:-1].tolist(), places[1:].tolist()):
+                out = np.empty(after - start + (end is not None), "<u4")
+                out[: after - start] = ids[start:after]
+                if end is not None:
+                    out[-1] = end
+                yield out
+            at = stop
+
+    def _together(self, texts: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie side by side, and where those of each text start."""
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(ends), np.int64)
+        starts = _starts(data, ends)
+        uncut = pc.match_substring_regex(texts, self._uncut)
+        for i in np.flatnonzero(uncut.to_numpy(zero_copy_only=False)):
+            starts[ends[i] + 1 : ends[i + 1]] = False
+        places = np.flatnonzero(starts)
+        bounds = pa.py_buffer(np.append(places, len(data)))
+        buffers = [None, bounds, pa.py_buffer(data)]
+        chunks = pa.Array.from_buffers(pa.large_string(), len(places), buffers).dictionary_encode()
+        # No other chunk equals one of these texts, as none holds what kept them whole.
+        whole = set(texts.filter(uncut).to_pylist())
+        distinct = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids_of = [self.ids(c) if c in whole else self._get(c) for c in distinct] if whole else list(map(self._get, distinct))
+        found = pa.array(ids_of, pa.large_binary()).take(chunks.indices)
+        id_ends = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] // self.dtype.itemsize
+        ids = np.frombuffer(found.buffers()[2] or b"", self.dtype)[: id_ends[-1]]
+        return ids, id_ends[np.searchsorted(places, ends)]
+
 
 class _Memo(dict):
     def __init__(self, encode, most: int):

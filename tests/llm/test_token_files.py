@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from corpusloom.llm import range_coder, token_scan
+from corpusloom.llm import range_coder, token_ids, token_scan
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -127,6 +128,52 @@ def test_files_hold_the_librarys_ids(make_docs):
     }
 
 
+@functools.cache
+def _library():
+    return Tokenizer.from_file(BYTES)
+
+
+_ODD_TEXTS = st.lists(
+    st.sampled_from(
+        [*"aZ\u00e9\u00ff\u00d7\u00f7\u00aa 09.,!'-_\t\n\r\v\f\0\x1c\x1f\x85\u00a0\u200b\u2003\u2019\u3000\u4e2d\u0416\u0301\u0967\U0001f600"]
+        + ["  ", " \n", "'s", "'ll", " 're", "word", "Voil\u00e0", " 12", "...", "x" * 120, "<|endoftext|>", "<|end"]
+    ),
+    max_size=12,
+).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(_ODD_TEXTS, max_size=6), st.sampled_from([1, 20, 1 << 20]), st.booleans())
+def test_texts_cut_together_get_the_librarys_ids(texts, together, literal):
+    tok, plain = token_ids.tokenizer(BYTES, literal_specials=literal), _library()
+    plain.encode_special_tokens = literal
+    token_ids.TOGETHER, before = together, token_ids.TOGETHER
+    try:
+        # A slice, so that the array's own offset counts.
+        got = [x.tolist() for x in tok.arrays(pa.array(["before", *texts])[1:], 7)]
+    finally:
+        token_ids.TOGETHER = before
+    assert got == [[*plain.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+    assert list(tok.arrays(pa.array([], pa.string()))) == []
+
+
+def test_a_chunk_is_looked_up_once_for_all_texts_of_a_batch():
+    tok = token_ids.TokenIds(BYTES)
+    calls, get = [], tok._get
+    tok._get = lambda chunk: calls.append(chunk) or get(chunk)
+    text = "some words, and the same words again; some words."
+    want = tok.array(text, 0).tolist()
+    calls.clear()
+    assert [x.tolist() for x in tok.arrays(pa.array([text] * 500), 0)] == [want] * 500
+    assert len(calls) == len(set(calls)) < 20
+
+
+def test_a_full_block_takes_few_steps_and_small_ones_more_than_lanes_alone():
+    """A step has some hundred array operations, whatever its lanes."""
+    assert range_coder._shape(range_coder.BLOCK) == (4096, 1024)
+    assert range_coder._shape(10_000) == (200, 50)
+
+
 def test_written_and_read_by_spark(make_docs, odd_pairs):
     files = range_coder.write_token_files(make_docs(odd_pairs), BYTES, parts=3)
     rows = [tuple(r) for r in range_coder.read_token_files(files).collect()]
