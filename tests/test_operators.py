@@ -543,6 +543,37 @@ def test_model_of_a_sample_scores_like_the_whole_model(spark):
     assert scored[0] == scored[1] and len(part.tokens) < len(whole.tokens) + 1
 
 
+def test_model_of_a_sample_counts_its_grams_where_texts_are_read(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "b", "\u00e9", "cc", "d1d", "E"]) for _ in range(rng.randrange(9))) for _ in range(50)]
+    rows = [(i % 45, t) for i, t in enumerate([*texts, None, "", "one", texts[0]])]
+    df = spark.createDataFrame(rows, "ord long, text string").repartition(3)
+    whole = perplexity.BigramModel.load(perplexity.fit_lm(df))
+    # The grams of all texts are neither made into rows nor shuffled.
+    monkeypatch.setattr(perplexity, "ngram_pairs", None)
+    monkeypatch.setattr(perplexity, "WORD_ROWS", 4)
+    monkeypatch.setattr(perplexity, "SLICE_ROWS", 3)
+    for scored in (df, df.filter("ord < 4"), df.filter("ord = 50"), df.filter("ord < 0")):
+        part = perplexity.lm_for(df, scored)
+        got = [sorted(map(str, perplexity.perplexity(scored, m).collect())) for m in (whole, part)]
+        assert got[0] == got[1] and (part.total, part.vocabulary) == (whole.total, whole.vocabulary)
+
+
+def test_report_of_a_sample_loads_only_the_weights_it_asks_for(spark, monkeypatch):
+    from corpusloom.operators import quality
+
+    words = [f"w{x}{y}" for x in "abcdefghij" for y in "klmnopqrst"]
+    df = spark.createDataFrame([(i, f"the {w} cat {w}") for i, w in enumerate(words)], "ord long, text string")
+    odds = toxicity.fit_toxicity(df.select("text", (F.col("ord") % 3 == 0).cast("int").alias("toxic")))
+    whole = toxicity.ToxicityModel.load(odds)
+    monkeypatch.setattr(quality, "detect_language", lambda df, _: df.withColumn("lang", F.lit("EN")))
+    want = sorted(map(str, quality.quality_report(df, None, whole, n=5).collect()))
+    loaded = []
+    monkeypatch.setattr(toxicity, "small_table", lambda t: loaded.append(t.count()) or lookup.small_table(t))
+    assert sorted(map(str, quality.quality_report(df, None, odds, n=5).collect())) == want
+    assert loaded and max(loaded) < 20 < odds.count()
+
+
 def test_models_over_the_cap_score_by_join_like_models_in_memory(spark, monkeypatch):
     texts = [(i, f"the cat {'sat ' * (i % 4)}on mat {'abcdefg'[i % 7]} w{'xyz'[i % 3] * (i % 9)}") for i in range(60)]
     df = spark.createDataFrame([*texts, (60, None), (61, ""), (62, "one")], "ord long, text string")
