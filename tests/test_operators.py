@@ -574,6 +574,16 @@ def test_report_of_a_sample_loads_only_the_weights_it_asks_for(spark, monkeypatc
     assert loaded and max(loaded) < 20 < odds.count()
 
 
+def test_fitted_models_of_the_jobs_pass_no_weights_through_the_driver(spark, sf_dir, monkeypatch):
+    from corpusloom.plans import registry
+
+    def loads(*_):
+        raise AssertionError("all weights loaded")
+
+    monkeypatch.setattr(toxicity.ToxicityModel, "load", loads)
+    assert registry._fitted(spark, sf_dir).toxicity.columns == ["token", "n_toxic", "n_clean", "weight"]
+
+
 def test_models_over_the_cap_score_by_join_like_models_in_memory(spark, monkeypatch):
     texts = [(i, f"the cat {'sat ' * (i % 4)}on mat {'abcdefg'[i % 7]} w{'xyz'[i % 3] * (i % 9)}") for i in range(60)]
     df = spark.createDataFrame([*texts, (60, None), (61, ""), (62, "one")], "ord long, text string")
