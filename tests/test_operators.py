@@ -439,6 +439,35 @@ def test_every_text_comes_back(spark, small_merges, kind):
         assert r.ids == want
 
 
+def test_batches_are_encoded_a_slice_at_a_time(small_merges, monkeypatch):
+    encoder = tk.Encoder.extended(small_merges)
+    coder, names, cut = bpe.coder(encoder.merges, tuple(encoder.special.items())), list(encoder.special), tk.pretokenise.cut
+    rows = [["the cat"], [], ["<|bos|>", "a th\u00e9", "<|eos|>"], [""], None, ["x" * 50, " 12"], ["the"], ["'ll go"]]
+    lists = pa.array([["cut off"], *rows], pa.list_(pa.string())).slice(1)
+    whole = tk._gathered(lists, coder, names).to_pylist()
+    held = []
+    monkeypatch.setattr(tk, "SLICE_BYTES", 20)
+    monkeypatch.setattr(tk.pretokenise, "cut", lambda texts, w: held.append(sum(len(t.encode()) for t in texts.to_pylist())) or cut(texts, w))
+    assert tk._gathered(lists, coder, names).to_pylist() == whole
+    assert held == [7, 20, 53, 9]
+    assert tk._counted(lists, coder, names).to_pylist() == [len(w) for w in whole]
+    tokens = pa.array([cut(pa.array(r or [], pa.string()), names)[0].to_pylist() for r in rows], pa.list_(pa.string()))
+    assert tk._gathered(tokens, coder).to_pylist() == whole and whole[2][0] == encoder.bos and whole[1] == whole[4] == []
+    assert tk._gathered(lists.slice(0, 0), coder, names).to_pylist() == []
+
+
+def test_texts_with_literals_are_dealt_to_small_tasks(spark, sf_dir, monkeypatch):
+    want = sorted(map(tuple, tables.special_docs(spark, sf_dir).collect()))
+    monkeypatch.setattr(tables, "SMALL_TASK_BYTES", 10_000)
+    docs = tables.special_docs(spark, sf_dir)
+    # Of a table of any size: it does not matter how its files are split.
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1)
+    many = tables.special_docs(spark, sf_dir)
+    for df in (docs, many):
+        assert df.rdd.getNumPartitions() == -(-tables.file_bytes(spark, sf_dir, "documents") // 10_000) > 20
+        assert sorted(map(tuple, df.collect())) == want
+
+
 def test_joined_encoding_and_cut_characters(spark, small_merges):
     encoder = tk.Encoder.extended(small_merges)
     df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "ord long, text string")
